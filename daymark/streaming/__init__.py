@@ -1,0 +1 @@
+"""The data model is a daily batch; it has no stream, so nothing lives here."""
