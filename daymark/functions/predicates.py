@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from daymark.config import Vocabulary
-from daymark.functions.dates import as_date, day_of, days_in_month, month_start, months_before
+from daymark.functions.dates import as_date, day_of, month_start, months_before
 
 
 def etl_window(day: str | Column, etl_date: dt.date | Column) -> Column:
@@ -59,8 +59,12 @@ def is_suspended(vocabulary: Vocabulary, with_fraud: bool = True) -> Column:
     return reduce(or_, tests)
 
 
-def has_positive_usage(usage: str, day: str) -> Column:
-    return F.ceil(F.col(usage) * days_in_month(day)) > 0
+def has_positive_usage(usage: str) -> Column:
+    """Usage over the month, rounded up, is positive exactly when a day's usage is.
+
+    Written on the stored column, the test reaches the Parquet reader.
+    """
+    return F.col(usage) > 0
 
 
 def is_reader_usage(vocabulary: Vocabulary) -> Column:

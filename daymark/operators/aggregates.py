@@ -20,11 +20,6 @@ from daymark.functions.predicates import any_metric, is_event, is_reader_view, j
 from daymark.operators.joins import semi_join_delete
 
 
-def count_if(condition: Column) -> Column:
-    """Sum of 1 for a true condition and 0 otherwise."""
-    return F.sum(F.when(condition, 1).otherwise(0))
-
-
 def count_distinct_if(condition: Column, value: str) -> Column:
     return F.count_distinct(F.when(condition, F.col(value)))
 
@@ -82,7 +77,7 @@ def daily_activity(
         with_event_facts(events, vocabulary)
         .groupBy(*keys, "user_id")
         .agg(
-            *[count_if(c).alias(name) for name, c in counters.items()],
+            *[F.count_if(c).alias(name) for name, c in counters.items()],
             *[
                 F.max(F.coalesce(c, F.lit(False))).alias(name)
                 for name, c in users.items()
@@ -156,7 +151,7 @@ def plan_metric_counts(daily_metrics: DataFrame, vocabulary: Vocabulary) -> Data
         "account_id",
     ).agg(
         *[
-            count_if(any_metric(names)).alias(column)
+            F.count_if(any_metric(names)).alias(column)
             for column, names in vocabulary.plan_metrics.items()
         ]
     )
@@ -166,60 +161,74 @@ def all_plan_metrics(vocabulary: Vocabulary) -> list[str]:
     return [name for names in vocabulary.plan_metrics.values() for name in names]
 
 
+def sum_where(condition: Column, value: Column) -> Column:
+    """Sum of ``value`` where the condition holds and of 0 elsewhere.
+
+    Rows that fail the condition are not added at all, which matters for exact
+    decimals. The sum is NULL only if every row meets the condition with a NULL.
+    """
+    held = F.coalesce(condition, F.lit(False))
+    total = F.sum(F.when(condition, value))
+    return F.when(F.bool_and(held), total).otherwise(F.coalesce(total, F.lit(0)))
+
+
 def net_of_share(names: Iterable[str]) -> Column:
     """Gross revenue of some metrics, less the estimated negative share."""
     net = F.col("gross_revenue") * (1 - F.col("estimated_negative_revenue_share"))
-    return F.sum(F.when(any_metric(names), net).otherwise(0))
+    return sum_where(any_metric(names), net)
 
 
 def usage_as_count(name: str) -> Column:
-    """Daily usage fraction of a metric times the days of its month."""
-    usage = F.when(any_metric([name]), F.col("usage")).otherwise(0)
-    return F.sum(usage * days_in_month("computation_date"))
+    """Daily usage fraction of a metric times the days of its month.
+
+    The day is a grouping key, so the days of its month multiply the sum.
+    """
+    usage = sum_where(any_metric([name]), F.col("usage"))
+    return usage * days_in_month("computation_date")
 
 
 def usage_as_count_by_date(name: str, rule_change: str) -> Column:
     """Usage to count, by hours before the rule change and by days from it on."""
-    day, usage = F.col("computation_date"), F.col("usage")
-    since = day >= F.lit(rule_change).cast("date")
+    changed = F.lit(rule_change).cast("date")
+    earlier = any_metric([name]) & (F.col("computation_date") < changed)
     hours = F.lit(24.0).cast("decimal(3,1)")
-    return F.sum(
-        F.when(any_metric([name]) & since, usage * days_in_month(day))
-        .when(any_metric([name]) & ~since, usage / hours)
-        .otherwise(0)
+    return F.when(F.col("computation_date") >= changed, usage_as_count(name)).otherwise(
+        sum_where(earlier, F.col("usage") / hours)
     )
 
 
 def revenue_columns(vocabulary: Vocabulary) -> dict[str, Column]:
-    """Aggregates of the revenue table, by output column."""
+    """Aggregates of the revenue table, by output column; the day is a grouping key."""
     v = vocabulary
     overall = any_metric([v.overall_metric])
-    sessions = F.when(any_metric([v.reader_metric]), F.col("usage")).otherwise(0)
-    reports = F.when(any_metric([v.report_session_metric]), F.col("usage"))
+    sessions = sum_where(any_metric([v.reader_metric]), F.col("usage"))
+    reports = F.sum(F.when(any_metric([v.report_session_metric]), F.col("usage")))
     net = F.col("gross_revenue") + F.col("discounts") + F.col("crf")
     columns = {
-        "gross_revenue": F.sum(F.when(overall, F.col("gross_revenue")).otherwise(0)),
+        "gross_revenue": sum_where(overall, F.col("gross_revenue")),
         "revenue": net_of_share([v.overall_metric]),
     }
     columns |= {name: net_of_share(names) for name, names in v.revenue_streams.items()}
+    paid = "count_provisioned_paid_authors_with_{}_subscription"
+    counts = {
+        paid.format("annual"): v.annual_author_metric,
+        paid.format("monthly"): v.monthly_author_metric,
+        "spice_gb": v.spice_metric,
+    }
+    columns |= {name: usage_as_count(metric) for name, metric in counts.items()}
+    dated = {
+        "count_provisioned_free_users": v.free_user_metric,
+        "count_provisioned_trial_users": v.trial_user_metric,
+    }
+    columns |= {
+        name: usage_as_count_by_date(metric, v.usage_rule_change)
+        for name, metric in dated.items()
+    }
     return columns | {
-        "count_provisioned_paid_authors_with_annual_subscription": usage_as_count(
-            v.annual_author_metric
-        ),
-        "count_provisioned_paid_authors_with_monthly_subscription": usage_as_count(
-            v.monthly_author_metric
-        ),
-        "count_provisioned_free_users": usage_as_count_by_date(
-            v.free_user_metric, v.usage_rule_change
-        ),
-        "count_provisioned_trial_users": usage_as_count_by_date(
-            v.trial_user_metric, v.usage_rule_change
-        ),
-        "count_provisioned_reader_seesions": F.sum(sessions),
-        "count_provisioned_reader_email_sessions": F.sum(reports),
-        "count_provisioned_reader_interactive_sessions": F.sum(sessions) - F.sum(reports),
-        "spice_gb": usage_as_count(v.spice_metric),
-        "net_revenue": F.sum(F.when(overall, net).otherwise(0)),
+        "count_provisioned_reader_seesions": sessions,
+        "count_provisioned_reader_email_sessions": reports,
+        "count_provisioned_reader_interactive_sessions": sessions - reports,
+        "net_revenue": sum_where(overall, net),
     }
 
 

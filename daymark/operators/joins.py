@@ -9,22 +9,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def null_aware_anti_join(
-    rows: DataFrame, excluded: DataFrame, column: str
+def with_not_in(
+    rows: DataFrame, excluded: DataFrame, column: str, flag: str
 ) -> DataFrame:
-    """SQL ``NOT IN``: a NULL among the excluded values leaves no row at all.
+    """Add the value of SQL ``NOT IN`` as a column that is true or false.
 
-    Spark plans ``NOT IN`` as a broadcast of the whole list. Here the list is
-    joined by its key, and only two of its counts reach every task.
+    It is false where SQL gives NULL: for every row if a NULL is listed, and for a
+    NULL value unless nothing is listed. Spark plans ``NOT IN`` as a broadcast of
+    the whole list; here the list is joined by its key, and only two of its counts
+    reach every task.
     """
-    values = excluded.select(F.col(column).alias("_excluded"))
-    counts = values.agg(
-        F.count(F.lit(1)).alias("total"), F.count("_excluded").alias("known")
+    values = excluded.select(F.col(column).alias("_listed"))
+    null_listed, nothing_listed = (
+        values.agg(test).scalar()
+        for test in (F.count_if(F.col("_listed").isNull()) > 0, F.count(F.lit(1)) == 0)
     )
-    no_null_listed = counts.select(F.col("total") == F.col("known")).scalar()
-    nothing_listed = counts.select(F.col("total") == 0).scalar()
-    kept = rows.filter(no_null_listed & (F.col(column).isNotNull() | nothing_listed))
-    return kept.join(values, kept[column] == values["_excluded"], "left_anti")
+    joined = rows.join(values.distinct(), rows[column] == values["_listed"], "left")
+    value = (
+        ~null_listed
+        & F.col("_listed").isNull()
+        & (F.col(column).isNotNull() | nothing_listed)
+    )
+    return joined.withColumn(flag, value).drop("_listed")
+
+
+def null_aware_anti_join(
+    rows: DataFrame, excluded: DataFrame, column: str
+) -> DataFrame:
+    """SQL ``NOT IN``: a NULL among the excluded values leaves no row at all."""
+    return with_not_in(rows, excluded, column, "_kept").filter("_kept").drop("_kept")
 
 
 def semi_join_delete(

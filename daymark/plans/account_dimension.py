@@ -18,7 +18,7 @@ from daymark.functions.predicates import (
     is_event,
 )
 from daymark.operators.aggregates import all_plan_metrics, plan_metric_counts
-from daymark.operators.joins import densify, null_aware_anti_join
+from daymark.operators.joins import densify, with_not_in
 from daymark.schemas import ACCOUNT_TYPE_EDITION_DAILY, enforce_schema
 from daymark.sources.calendar import run_calendar
 from daymark.sources.tables import (
@@ -49,10 +49,9 @@ def seen_accounts(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
 
 def live_accounts(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
     """Seen accounts without the suspended ones, unless they have revenue rows."""
-    seen = seen_accounts(inputs, vocabulary)
     suspended = scan_suspended_accounts(inputs.account_details, vocabulary)
-    unbilled = null_aware_anti_join(seen.filter(~F.col("billed")), suspended, "account_id")
-    return seen.filter("billed").unionByName(unbilled).drop("billed")
+    seen = with_not_in(seen_accounts(inputs, vocabulary), suspended, "account_id", "allowed")
+    return seen.filter(F.col("billed") | F.col("allowed")).drop("billed", "allowed")
 
 
 def join_dates(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
@@ -70,7 +69,7 @@ def plan_days(
     """Plan-metric counts of the rows with positive monthly usage."""
     metrics = scan_product(inputs.daily_account_metrics, vocabulary).filter(
         any_metric(all_plan_metrics(vocabulary))
-        & has_positive_usage("daily_usage", "computation_date")
+        & has_positive_usage("daily_usage")
     )
     if days is not None:
         metrics = metrics.filter(days)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MAX_BYTES = "max_bytes"
@@ -156,19 +155,19 @@ KEYS: dict[str, tuple[str, ...]] = {
 DIMENSION_ATTRIBUTES: tuple[str, ...] = tuple(f.name for f in _ATTRIBUTES)
 
 
-def checked_text(value: Column, name: str, size: int) -> Column:
-    """The text itself; a text above its declared size (in bytes) fails the query."""
-    message = F.concat(F.lit(f"{name} is longer than {size} bytes: "), value)
-    return F.when(F.octet_length(value) > size, F.raise_error(message)).otherwise(value)
+def fitted(field: T.StructField) -> str:
+    """SQL that casts a column to its declared type.
+
+    A text above its declared size (in bytes) fails the query.
+    """
+    name, size = field.name, field.metadata.get(MAX_BYTES)
+    value = f"CAST({name} AS {field.dataType.simpleString()})"
+    if size is not None:
+        message = f"concat('{name} is longer than {size} bytes: ', {value})"
+        value = f"IF(octet_length({value}) > {size}, raise_error({message}), {value})"
+    return f"{value} AS {name}"
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast, order and size-check the columns of ``df`` to the declared table."""
-    columns = []
-    for target in schema:
-        value = F.col(target.name).cast(target.dataType)
-        size = target.metadata.get(MAX_BYTES)
-        if size is not None:
-            value = checked_text(value, target.name, size)
-        columns.append(value.alias(target.name))
-    return df.select(*columns)
+    return df.selectExpr(*[fitted(field) for field in schema])

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from verification.inputs import ETL_DATE, VOCABULARY, inputs
 from verification.oracle import query
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Context:
     """One session on one scale: the source tables and the five jobs, all lazy."""
 
@@ -64,6 +64,12 @@ class Context:
         return f"{base or tempfile.mkdtemp(prefix='run-')}/{uuid.uuid4().hex}"
 
 
+@cache
+def context(spark: SparkSession, sf_dir: str) -> Context:
+    """One context per session and scale: plans are built once and run as often as asked."""
+    return Context(spark, sf_dir)
+
+
 Build = Callable[[Context], DataFrame]
 CASES: dict[str, tuple[Build, str | None]] = {}
 
@@ -94,7 +100,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(build: Build) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: plain(build(Context(spark, sf_dir)))
+        return lambda spark, sf_dir: plain(build(context(spark, sf_dir)))
 
     return {key: runner(build) for key, (build, _) in CASES.items()}
 
