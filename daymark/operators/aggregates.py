@@ -181,10 +181,11 @@ def net_of_share(names: Iterable[str]) -> Column:
 def usage_as_count(name: str) -> Column:
     """Daily usage fraction of a metric times the days of its month.
 
-    The day is a grouping key, so the days of its month multiply the sum.
+    The day is a grouping key, so the days of its month multiply the sum. As a
+    two-digit decimal they leave the scale of the product untouched.
     """
     usage = sum_where(any_metric([name]), F.col("usage"))
-    return usage * days_in_month("computation_date")
+    return usage * days_in_month("computation_date").cast("decimal(2,0)")
 
 
 def usage_as_count_by_date(name: str, rule_change: str) -> Column:

@@ -87,11 +87,11 @@ def case(key: str, sql: str | None = None) -> Callable[[Build], Build]:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Decimals in one common type, so that both engines print them alike."""
+    """Computed decimals in one common type, so that both engines print them alike."""
     return df.select(
         *[
             F.col(f"`{f.name}`").cast("decimal(38,10)").alias(f.name)
-            if isinstance(f.dataType, T.DecimalType)
+            if isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18
             else F.col(f"`{f.name}`")
             for f in df.schema
         ]
