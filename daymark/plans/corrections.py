@@ -11,11 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymark.config import Inputs, Vocabulary
-from daymark.functions.dates import run_stamp
+from daymark.functions.dates import day_of, run_stamp
 from daymark.functions.predicates import account_type, is_event
 from daymark.operators.aggregates import new_authors
 from daymark.operators.joins import semi_join_delete
-from daymark.functions.dates import day_of
 from daymark.plans.account_dimension import join_dates, plan_days
 from daymark.plans.events import KEYS, REGION_KEYS
 from daymark.plans.revenue import revenue_sums

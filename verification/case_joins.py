@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 from daymark.functions.dates import as_date, day_of, months_before
 from daymark.functions.predicates import is_event, is_reader_view
 from daymark.operators import joins
-from daymark.operators.aggregates import first_logins, reader_view_days
+from daymark.operators.aggregates import (
+    first_logins,
+    provisioned_readers,
+    reader_view_days,
+)
 from daymark.plans.account_dimension import live_accounts
 from daymark.plans.boards import reporting_day
 from daymark.plans.events import KEYS
@@ -19,6 +23,7 @@ from daymark.sources.calendar import run_calendar, whole_calendar
 from daymark.sources.tables import (
     scan_account_details,
     scan_external_events,
+    scan_metering,
     scan_suspended_accounts,
 )
 from verification.inputs import ETL_DATE, REPORTING_DATE, VOCABULARY
@@ -62,9 +67,6 @@ def _(c: Context):
     LEFT JOIN metered m ON m.day = d.computation_date AND m.account_id = d.account_id""",
 )
 def _(c: Context):
-    from daymark.operators.aggregates import provisioned_readers
-    from daymark.sources.tables import scan_metering
-
     sums = revenue_sums(c.inputs.business_metrics, KEYS, V).select(*KEYS, "gross_revenue")
     readers = provisioned_readers(scan_metering(c.inputs.metering, V))
     dimension = c.dimension.select(*KEYS, "edition")
