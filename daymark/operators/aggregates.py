@@ -126,13 +126,16 @@ def new_authors(
     keys: Sequence[str],
     vocabulary: Vocabulary,
     window: Column | None = None,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
     """Users whose first login is that day and who did not view as a reader then.
 
-    ``window`` limits the days of interest (on ``first_login_date``). It is applied
-    after the all-history minimum, and reaches the scan of the reader views.
+    ``firsts`` are the first logins over all history, if they are at hand. ``window``
+    limits the days of interest (on ``first_login_date``); it is applied after that
+    minimum, and reaches the scan of the reader views.
     """
-    firsts = first_logins(events, keys, vocabulary)
+    if firsts is None:
+        firsts = first_logins(events, keys, vocabulary)
     if window is not None:
         firsts = firsts.filter(window)
     views = reader_view_days(events, keys, vocabulary)

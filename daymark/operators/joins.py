@@ -53,8 +53,9 @@ def densify(
     """Every account on every calendar day of ``[first, last]``.
 
     Each row grows its own days and then meets the calendar by equality, so no
-    cross join is planned. The calendar of a run window is a few dozen rows.
+    cross join is planned. What is broadcast is one row per day of the span.
     """
+    calendar = calendar.filter(F.col("calendar_date").between(first, last))
     days = accounts.withColumn(
         "calendar_date", F.explode(F.sequence(first, last, F.expr("interval 1 day")))
     )

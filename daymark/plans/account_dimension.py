@@ -15,10 +15,10 @@ from daymark.functions.predicates import (
     edition,
     etl_window,
     has_positive_usage,
-    is_event,
 )
 from daymark.operators.aggregates import all_plan_metrics, plan_metric_counts
 from daymark.operators.joins import densify, with_not_in
+from daymark.plans.history import History, run_history, seen_accounts
 from daymark.schemas import ACCOUNT_TYPE_EDITION_DAILY, enforce_schema
 from daymark.sources.calendar import run_calendar
 from daymark.sources.tables import (
@@ -28,41 +28,17 @@ from daymark.sources.tables import (
 )
 
 
-def seen_accounts(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
-    """Accounts with events or revenue, from one pass over each table.
-
-    Gives the last login, and whether the account has revenue rows.
-    """
-    logged_in = F.when(is_event(vocabulary.login), F.col("event_day"))
-    events = inputs.raw_events.select(
-        "account_id", logged_in.alias("login"), F.lit(False).alias("billed")
-    )
-    revenue = scan_product(inputs.business_metrics, vocabulary).select(
-        "account_id", F.lit(None).cast("timestamp_ntz").alias("login"), F.lit(True).alias("billed")
-    )
-    return (
-        events.union(revenue)
-        .groupBy("account_id")
-        .agg(F.max("login").alias("last_login_date"), F.max("billed").alias("billed"))
-    )
-
-
-def live_accounts(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
+def live_accounts(
+    inputs: Inputs, vocabulary: Vocabulary, seen: DataFrame | None = None
+) -> DataFrame:
     """Seen accounts without the suspended ones, unless they have revenue rows."""
+    if seen is None:
+        seen = seen_accounts(inputs, vocabulary)
     suspended = scan_suspended_accounts(inputs.account_details, vocabulary)
-    seen = with_not_in(seen_accounts(inputs, vocabulary), suspended, "account_id", "allowed")
+    seen = with_not_in(seen, suspended, "account_id", "allowed")
     return seen.filter(F.col("billed") | F.col("allowed")).drop("billed", "allowed")
 
 
-def join_dates(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
-    """First metric day of every account, over all history."""
-    return (
-        scan_product(inputs.daily_account_metrics, vocabulary)
-        .groupBy("account_id")
-        .agg(F.min("computation_date").alias("join_date"))
-    )
-
-
 def plan_days(
     inputs: Inputs, vocabulary: Vocabulary, days: Column | None = None
 ) -> DataFrame:
@@ -77,13 +53,15 @@ def plan_days(
 
 
 def account_type_edition_daily(
-    inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary
+    inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary, kept: History | None = None
 ) -> DataFrame:
+    """Accounts by day. With a kept history only the rows of the run window are read."""
+    history = run_history(inputs, etl_date, vocabulary, kept)
     keys = ["calendar_date", "account_id"]
     accounts = (
-        live_accounts(inputs, vocabulary)
+        live_accounts(inputs, vocabulary, history.seen_accounts)
         .join(scan_account_details(inputs.account_details), "account_id")
-        .join(join_dates(inputs, vocabulary), "account_id", "left")
+        .join(history.join_dates, "account_id", "left")
     )
     panel = densify(
         accounts,

@@ -15,8 +15,9 @@ from daymark.functions.dates import day_of, run_stamp
 from daymark.functions.predicates import account_type, is_event
 from daymark.operators.aggregates import new_authors
 from daymark.operators.joins import semi_join_delete
-from daymark.plans.account_dimension import join_dates, plan_days
+from daymark.plans.account_dimension import plan_days
 from daymark.plans.events import KEYS, REGION_KEYS
+from daymark.plans.history import join_dates
 from daymark.plans.revenue import revenue_sums
 from daymark.sources.tables import scan_product, scan_suspended_accounts
 

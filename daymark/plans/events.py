@@ -20,6 +20,7 @@ from daymark.functions.predicates import (
 from daymark.operators.aggregates import daily_activity, new_authors
 from daymark.operators.joins import full_join_tested
 from daymark.operators.rolling import rolling_activity
+from daymark.plans.history import History, run_history
 from daymark.schemas import EVENTS_DAILY, EVENTS_REGIONAL_DAILY, enforce_schema
 from daymark.sources.tables import scan_raw_events
 
@@ -46,12 +47,16 @@ def run_activity(
 
 
 def run_new_authors(
-    inputs: Inputs, keys: list[str], etl_date: dt.date, vocabulary: Vocabulary
+    inputs: Inputs,
+    keys: list[str],
+    etl_date: dt.date,
+    vocabulary: Vocabulary,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
     window = etl_window("first_login_date", etl_date)
-    return new_authors(inputs.raw_events, keys, vocabulary, window).withColumnRenamed(
-        "first_login_date", "computation_date"
-    )
+    return new_authors(
+        inputs.raw_events, keys, vocabulary, window, firsts
+    ).withColumnRenamed("first_login_date", "computation_date")
 
 
 def lookback_activity(
@@ -84,10 +89,15 @@ def run_rolling_activity(
 
 
 def events_daily(
-    inputs: Inputs, dimension: DataFrame, etl_date: dt.date, vocabulary: Vocabulary
+    inputs: Inputs,
+    dimension: DataFrame,
+    etl_date: dt.date,
+    vocabulary: Vocabulary,
+    kept: History | None = None,
 ) -> DataFrame:
+    firsts = run_history(inputs, etl_date, vocabulary, kept).first_logins
     activity = run_activity(inputs, KEYS, etl_date, vocabulary)
-    authors = run_new_authors(inputs, ["account_id"], etl_date, vocabulary)
+    authors = run_new_authors(inputs, ["account_id"], etl_date, vocabulary, firsts)
     facts = activity.join(authors, KEYS, "left")
     rows = (
         run_dimension(dimension, etl_date)
@@ -98,7 +108,11 @@ def events_daily(
 
 
 def events_regional_daily(
-    inputs: Inputs, dimension: DataFrame, etl_date: dt.date, vocabulary: Vocabulary
+    inputs: Inputs,
+    dimension: DataFrame,
+    etl_date: dt.date,
+    vocabulary: Vocabulary,
+    kept: History | None = None,
 ) -> DataFrame:
     """Dimension rows fan out to the regions active in their 30 days.
 
@@ -110,7 +124,8 @@ def events_regional_daily(
     activity = run_activity(inputs, REGION_KEYS, etl_date, vocabulary).withColumn(
         "in_activity", F.lit(True)
     )
-    authors = run_new_authors(inputs, ["account_id", "region"], etl_date, vocabulary)
+    firsts = run_history(inputs, etl_date, vocabulary, kept).first_regional_logins
+    authors = run_new_authors(inputs, ["account_id", "region"], etl_date, vocabulary, firsts)
 
     fanned = accounts.join(_without_unplaced_week(rolling), KEYS, "left")
     active = _merge_keys(

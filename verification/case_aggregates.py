@@ -9,7 +9,7 @@ from daymark.functions.predicates import is_event, is_reader_view
 from daymark.operators import aggregates as agg
 from daymark.operators.ordering import newest_first, top_k
 from daymark.operators.rolling import rolling_members
-from daymark.plans.account_dimension import live_accounts, plan_days, seen_accounts, join_dates
+from daymark.plans.account_dimension import live_accounts, plan_days
 from daymark.plans.boards import reporting_day
 from daymark.plans.corrections import account_universe
 from daymark.plans.events import (
@@ -19,6 +19,7 @@ from daymark.plans.events import (
     run_activity,
     run_rolling_activity,
 )
+from daymark.plans.history import join_dates, seen_accounts
 from daymark.plans.revenue import revenue_sums
 from daymark.plans.rolling import run_rolling_readers
 from daymark.sources.tables import scan_external_events, scan_metering, scan_product

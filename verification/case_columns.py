@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from daymark.functions import dates, predicates
 from daymark.operators.aggregates import all_plan_metrics, new_authors
-from daymark.plans.account_dimension import join_dates, plan_days
+from daymark.plans.account_dimension import plan_days
 from daymark.plans.boards import reporting_day
 from daymark.plans.events import KEYS, REGION_KEYS, run_activity, run_new_authors, stamped
+from daymark.plans.history import join_dates
 from daymark.sources.tables import scan_suspended_accounts
 from verification.inputs import ETL_DATE, TOP_DAY, VOCABULARY, business_metrics
 from verification.oracle import READER, account_type_sql

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from daymark.functions.predicates import etl_window, is_event, is_reader_view
 from daymark.operators.quality import check_unique_key, reconcile_reports
 from daymark.plans import boards, reports
+from daymark.plans.account_dimension import account_type_edition_daily
+from daymark.plans.events import events_daily, events_regional_daily
+from daymark.plans.history import history_before, window_start
 from daymark.sources.tables import scan_external_events
 from verification.inputs import (
     ETL_DATE,
@@ -34,6 +37,25 @@ case("job_revenue_daily", "SELECT * FROM revenue_table")(lambda c: c.revenue)
 case("job_user_rolling_period", "SELECT * FROM rolling_table")(lambda c: c.rolling)
 
 
+def _kept(c: Context):
+    return history_before(c.inputs, window_start(ETL_DATE), V)
+
+
+@case("job_account_type_edition_daily_kept", "SELECT * FROM dimension")
+def _(c: Context):
+    return account_type_edition_daily(c.inputs, ETL_DATE, V, _kept(c))
+
+
+@case("job_events_daily_kept", "SELECT * FROM events_table")
+def _(c: Context):
+    return events_daily(c.inputs, c.dimension, ETL_DATE, V, _kept(c))
+
+
+@case("job_events_regional_daily_kept", "SELECT * FROM regional_table")
+def _(c: Context):
+    return events_regional_daily(c.inputs, c.dimension, ETL_DATE, V, _kept(c))
+
+
 def total(column: str, name: str | None = None, where: str = "") -> str:
     kept = f" FILTER (WHERE {where})" if where else ""
     return f"CAST(sum({column}){kept} AS BIGINT) AS {name or column}"
