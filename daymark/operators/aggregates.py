@@ -68,22 +68,40 @@ def user_conditions(vocabulary: Vocabulary) -> dict[str, Column]:
     return conditions
 
 
-def daily_activity(
+def user_activity(
     events: DataFrame, keys: Sequence[str], vocabulary: Vocabulary
 ) -> DataFrame:
-    """All activity metrics per key; ``keys`` may add the region to day and account."""
+    """Counters and flags per key and user, from raw events.
+
+    A flag has the name of the output that counts its users.
+    """
     counters, users = event_counters(vocabulary), user_conditions(vocabulary)
-    per_user = (
+    return (
         with_event_facts(events, vocabulary)
         .groupBy(*keys, "user_id")
         .agg(
             *[F.count_if(c).alias(name) for name, c in counters.items()],
-            *[
-                F.max(F.coalesce(c, F.lit(False))).alias(name)
-                for name, c in users.items()
-            ],
+            *[F.max(F.coalesce(c, F.lit(False))).alias(name) for name, c in users.items()],
         )
     )
+
+
+def merge_user_activity(
+    per_user: DataFrame, keys: Sequence[str], vocabulary: Vocabulary
+) -> DataFrame:
+    """User rows of finer keys brought together under ``keys``."""
+    counters, users = event_counters(vocabulary), user_conditions(vocabulary)
+    return per_user.groupBy(*keys, "user_id").agg(
+        *[F.sum(name).alias(name) for name in counters],
+        *[F.max(name).alias(name) for name in users],
+    )
+
+
+def activity_of_users(
+    per_user: DataFrame, keys: Sequence[str], vocabulary: Vocabulary
+) -> DataFrame:
+    """All activity metrics per key, from rows that are unique per key and user."""
+    counters, users = event_counters(vocabulary), user_conditions(vocabulary)
     known = F.col("user_id").isNotNull()
     return (
         per_user.groupBy(*keys)
@@ -99,6 +117,13 @@ def daily_activity(
     )
 
 
+def daily_activity(
+    events: DataFrame, keys: Sequence[str], vocabulary: Vocabulary
+) -> DataFrame:
+    """All activity metrics per key; ``keys`` may add the region to day and account."""
+    return activity_of_users(user_activity(events, keys, vocabulary), keys, vocabulary)
+
+
 def first_logins(
     events: DataFrame, keys: Sequence[str], vocabulary: Vocabulary
 ) -> DataFrame:
@@ -127,18 +152,21 @@ def new_authors(
     vocabulary: Vocabulary,
     window: Column | None = None,
     firsts: DataFrame | None = None,
+    views: DataFrame | None = None,
 ) -> DataFrame:
     """Users whose first login is that day and who did not view as a reader then.
 
-    ``firsts`` are the first logins over all history, if they are at hand. ``window``
-    limits the days of interest (on ``first_login_date``); it is applied after that
-    minimum, and reaches the scan of the reader views.
+    ``firsts`` are the first logins over all history and ``views`` the reader days,
+    if they are at hand. ``window`` limits the days of interest (on
+    ``first_login_date``); it is applied after that minimum, and reaches the scan of
+    the reader views.
     """
     if firsts is None:
         firsts = first_logins(events, keys, vocabulary)
     if window is not None:
         firsts = firsts.filter(window)
-    views = reader_view_days(events, keys, vocabulary)
+    if views is None:
+        views = reader_view_days(events, keys, vocabulary)
     authors = semi_join_delete(firsts, views, [*keys, "user_id", "first_login_date"])
     return authors.groupBy("first_login_date", *keys).agg(
         F.count("user_id").alias("count_new_authors")

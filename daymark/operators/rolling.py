@@ -96,7 +96,13 @@ def rolling_activity(
     ``activity`` has the keys, ``user_id``, ``is_login``, ``computation_date`` and
     ``user_data``. The columns of a width are NULL where its window is empty.
     """
-    days = activity_member_days(activity, keys)
+    return rolling_of_member_days(activity_member_days(activity, keys), keys, first, last)
+
+
+def rolling_of_member_days(
+    days: DataFrame, keys: Sequence[str], first: Column, last: Column
+) -> DataFrame:
+    """The same, from rows that are unique per key, user, kind and day."""
     spans = member_spans(days, [*keys, "user_id", "is_login"])
     counts = spans.groupBy(*keys, "computation_date", "is_login", "span").agg(
         F.count("user_id").alias("members"), F.sum("tuples").alias("tuples")

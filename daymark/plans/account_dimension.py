@@ -18,7 +18,7 @@ from daymark.functions.predicates import (
 )
 from daymark.operators.aggregates import all_plan_metrics, plan_metric_counts
 from daymark.operators.joins import densify, with_not_in
-from daymark.plans.history import History, run_history, seen_accounts
+from daymark.plans.history import History, history_of, seen_accounts
 from daymark.schemas import ACCOUNT_TYPE_EDITION_DAILY, enforce_schema
 from daymark.sources.calendar import run_calendar
 from daymark.sources.tables import (
@@ -53,10 +53,10 @@ def plan_days(
 
 
 def account_type_edition_daily(
-    inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary, kept: History | None = None
+    inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary, history: History | None = None
 ) -> DataFrame:
-    """Accounts by day. With a kept history only the rows of the run window are read."""
-    history = run_history(inputs, etl_date, vocabulary, kept)
+    """Accounts by day. ``history`` is taken from all rows unless it is at hand."""
+    history = history or history_of(inputs, vocabulary)
     keys = ["calendar_date", "account_id"]
     accounts = (
         live_accounts(inputs, vocabulary, history.seen_accounts)

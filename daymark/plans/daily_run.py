@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
 from daymark.config import Inputs, Vocabulary
 from daymark.plans.account_dimension import account_type_edition_daily
-from daymark.plans.events import events_daily, events_regional_daily
+from daymark.plans.events import (
+    events_daily,
+    events_regional_daily,
+    first_login_days,
+    lookback_user_days,
+)
 from daymark.plans.history import (
     HISTORY_TABLES,
     History,
+    fold,
     history_before,
+    recent_history,
     window_start,
 )
 from daymark.plans.revenue import revenue_daily
@@ -37,16 +45,32 @@ def run_daily(
 ) -> dict[str, DataFrame]:
     """Load all five tables; the dimension is loaded first and read by the others.
 
-    A rerun replaces the same days. The stored dimension cuts the lineage of the
-    four fact tables, so a lost executor does not bring its work back.
+    A rerun replaces the same days. The activity per user is stored once for the two
+    tables that need it. With a ``kept`` history the rows before the run window and
+    its lookback are not read. What is stored also cuts the lineage of the tables
+    after it, so a lost executor does not bring all work back.
     """
+    spark = inputs.raw_events.sparkSession
+    days_path = f"{base}/_user_days/{etl_date}"
+    lookback_user_days(inputs, etl_date, vocabulary).write.mode("overwrite").parquet(days_path)
+    user_days = spark.read.parquet(days_path)
+
+    history = None
+    if kept is not None:
+        recent = replace(
+            recent_history(inputs, etl_date, vocabulary),
+            first_logins=first_login_days(user_days, ["account_id"]),
+            first_regional_logins=first_login_days(user_days, ["account_id", "region"]),
+        )
+        history = fold(kept, recent)
+
     name = "account_type_edition_daily"
-    dimension = account_type_edition_daily(inputs, etl_date, vocabulary, kept)
+    dimension = account_type_edition_daily(inputs, etl_date, vocabulary, history)
     tables = {name: load_table(dimension, base, name)}
     arguments = (inputs, tables[name], etl_date, vocabulary)
     facts = {
-        "events_daily": events_daily(*arguments, kept),
-        "events_regional_daily": events_regional_daily(*arguments, kept),
+        "events_daily": events_daily(*arguments, history, user_days),
+        "events_regional_daily": events_regional_daily(*arguments, history, user_days),
         "revenue_daily": revenue_daily(*arguments),
         "count_user_rolling_days": count_user_rolling_days(*arguments),
     }

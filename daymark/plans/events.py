@@ -17,10 +17,16 @@ from daymark.functions.predicates import (
     is_reader_view,
     lookback_window,
 )
-from daymark.operators.aggregates import daily_activity, new_authors
+from daymark.operators.aggregates import (
+    activity_of_users,
+    daily_activity,
+    merge_user_activity,
+    new_authors,
+    user_activity,
+)
 from daymark.operators.joins import full_join_tested
-from daymark.operators.rolling import rolling_activity
-from daymark.plans.history import History, run_history
+from daymark.operators.rolling import rolling_activity, rolling_of_member_days
+from daymark.plans.history import History
 from daymark.schemas import EVENTS_DAILY, EVENTS_REGIONAL_DAILY, enforce_schema
 from daymark.sources.tables import scan_raw_events
 
@@ -39,11 +45,39 @@ def stamped(df: DataFrame, etl_date: dt.date) -> DataFrame:
     return df.withColumns({"dw_create_date": stamp, "dw_update_date": stamp})
 
 
+def lookback_user_days(
+    inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary
+) -> DataFrame:
+    """Activity per day, account, region and user, for the months a run looks at.
+
+    Written once per run, it spares both activity tables their scans of raw events.
+    """
+    events = scan_raw_events(inputs.raw_events).filter(lookback_window(event_day(), etl_date))
+    return user_activity(events, REGION_KEYS, vocabulary)
+
+
 def run_activity(
-    inputs: Inputs, keys: list[str], etl_date: dt.date, vocabulary: Vocabulary
+    inputs: Inputs,
+    keys: list[str],
+    etl_date: dt.date,
+    vocabulary: Vocabulary,
+    user_days: DataFrame | None = None,
 ) -> DataFrame:
-    events = scan_raw_events(inputs.raw_events).filter(etl_window(event_day(), etl_date))
-    return daily_activity(events, keys, vocabulary)
+    if user_days is None:
+        events = scan_raw_events(inputs.raw_events).filter(etl_window(event_day(), etl_date))
+        return daily_activity(events, keys, vocabulary)
+    users = user_days.filter(etl_window("computation_date", etl_date))
+    if keys != REGION_KEYS:
+        users = merge_user_activity(users, keys, vocabulary)
+    return activity_of_users(users, keys, vocabulary)
+
+
+def first_login_days(user_days: DataFrame, keys: list[str]) -> DataFrame:
+    return (
+        user_days.filter("login_users")
+        .groupBy(*keys, "user_id")
+        .agg(F.min("computation_date").alias("first_login_date"))
+    )
 
 
 def run_new_authors(
@@ -52,10 +86,15 @@ def run_new_authors(
     etl_date: dt.date,
     vocabulary: Vocabulary,
     firsts: DataFrame | None = None,
+    user_days: DataFrame | None = None,
 ) -> DataFrame:
+    views = None
+    if user_days is not None:
+        day = F.col("computation_date").alias("first_login_date")
+        views = user_days.filter("count_active_readers").select(*keys, "user_id", day).distinct()
     window = etl_window("first_login_date", etl_date)
     return new_authors(
-        inputs.raw_events, keys, vocabulary, window, firsts
+        inputs.raw_events, keys, vocabulary, window, firsts, views
     ).withColumnRenamed("first_login_date", "computation_date")
 
 
@@ -78,14 +117,38 @@ def lookback_activity(
 
 
 def run_rolling_activity(
-    inputs: Inputs, keys: list[str], etl_date: dt.date, vocabulary: Vocabulary
+    inputs: Inputs,
+    keys: list[str],
+    etl_date: dt.date,
+    vocabulary: Vocabulary,
+    user_days: DataFrame | None = None,
 ) -> DataFrame:
-    return rolling_activity(
-        lookback_activity(inputs, keys, etl_date, vocabulary),
-        keys,
-        months_before(etl_date, 1),
-        as_date(etl_date),
-    ).withColumnRenamed("calendar_date", "computation_date")
+    """Rolling activity of the run window.
+
+    ``user_days`` replace the raw events where the key is account and region; they
+    hold no login texts, so their login totals stay empty.
+    """
+    span = months_before(etl_date, 1), as_date(etl_date)
+    if user_days is None:
+        activity = lookback_activity(inputs, keys, etl_date, vocabulary)
+        rolling = rolling_activity(activity, keys, *span)
+    else:
+        rolling = rolling_of_member_days(_kinds_of_activity(user_days, keys), keys, *span)
+    return rolling.withColumnRenamed("calendar_date", "computation_date")
+
+
+def _kinds_of_activity(user_days: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per user and day that logged in, and one that viewed as a reader."""
+    kinds = F.array(
+        F.when(F.col("login_users"), True), F.when(F.col("count_active_readers"), False)
+    )
+    return user_days.select(
+        *keys,
+        "user_id",
+        "computation_date",
+        F.explode(F.array_compact(kinds)).alias("is_login"),
+        F.lit(None).cast("bigint").alias("tuples"),
+    )
 
 
 def events_daily(
@@ -93,11 +156,19 @@ def events_daily(
     dimension: DataFrame,
     etl_date: dt.date,
     vocabulary: Vocabulary,
-    kept: History | None = None,
+    history: History | None = None,
+    user_days: DataFrame | None = None,
 ) -> DataFrame:
-    firsts = run_history(inputs, etl_date, vocabulary, kept).first_logins
-    activity = run_activity(inputs, KEYS, etl_date, vocabulary)
-    authors = run_new_authors(inputs, ["account_id"], etl_date, vocabulary, firsts)
+    """Activity per day and account.
+
+    ``history`` and ``user_days`` are what a run has stored already; without them
+    everything is taken from the raw events.
+    """
+    firsts = history.first_logins if history else None
+    activity = run_activity(inputs, KEYS, etl_date, vocabulary, user_days)
+    authors = run_new_authors(
+        inputs, ["account_id"], etl_date, vocabulary, firsts, user_days
+    )
     facts = activity.join(authors, KEYS, "left")
     rows = (
         run_dimension(dimension, etl_date)
@@ -112,7 +183,8 @@ def events_regional_daily(
     dimension: DataFrame,
     etl_date: dt.date,
     vocabulary: Vocabulary,
-    kept: History | None = None,
+    history: History | None = None,
+    user_days: DataFrame | None = None,
 ) -> DataFrame:
     """Dimension rows fan out to the regions active in their 30 days.
 
@@ -120,12 +192,13 @@ def events_regional_daily(
     stay as rows of their own without account attributes.
     """
     accounts = run_dimension(dimension, etl_date).withColumn("in_dimension", F.lit(True))
-    rolling = run_rolling_activity(inputs, ["account_id", "region"], etl_date, vocabulary)
-    activity = run_activity(inputs, REGION_KEYS, etl_date, vocabulary).withColumn(
+    places = ["account_id", "region"]
+    rolling = run_rolling_activity(inputs, places, etl_date, vocabulary, user_days)
+    activity = run_activity(inputs, REGION_KEYS, etl_date, vocabulary, user_days).withColumn(
         "in_activity", F.lit(True)
     )
-    firsts = run_history(inputs, etl_date, vocabulary, kept).first_regional_logins
-    authors = run_new_authors(inputs, ["account_id", "region"], etl_date, vocabulary, firsts)
+    firsts = history.first_regional_logins if history else None
+    authors = run_new_authors(inputs, places, etl_date, vocabulary, firsts, user_days)
 
     fanned = accounts.join(_without_unplaced_week(rolling), KEYS, "left")
     active = _merge_keys(

@@ -121,15 +121,10 @@ def _fold(*parts: DataFrame) -> DataFrame:
     )
 
 
-def run_history(
-    inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary, kept: History | None
-) -> History:
-    """Full history of a run: from all rows, or from a kept history and recent rows."""
-    if kept is None:
-        return history_of(inputs, vocabulary)
+def recent_history(inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary) -> History:
+    """The history of the rows from the run window on, to be folded into a kept one."""
     start = window_start(etl_date)
-    recent = rows_where(inputs, lambda day: day >= start)
-    return fold(kept, history_of(recent, vocabulary))
+    return history_of(rows_where(inputs, lambda day: day >= start), vocabulary)
 
 
 HISTORY_TABLES = tuple(f.name for f in fields(History))

@@ -10,8 +10,17 @@ from daymark.functions.predicates import etl_window, is_event, is_reader_view
 from daymark.operators.quality import check_unique_key, reconcile_reports
 from daymark.plans import boards, reports
 from daymark.plans.account_dimension import account_type_edition_daily
-from daymark.plans.events import events_daily, events_regional_daily
-from daymark.plans.history import history_before, window_start
+from daymark.plans.events import (
+    events_daily,
+    events_regional_daily,
+    lookback_user_days,
+)
+from daymark.plans.history import (
+    fold,
+    history_before,
+    recent_history,
+    window_start,
+)
 from daymark.sources.tables import scan_external_events
 from verification.inputs import (
     ETL_DATE,
@@ -38,7 +47,9 @@ case("job_user_rolling_period", "SELECT * FROM rolling_table")(lambda c: c.rolli
 
 
 def _kept(c: Context):
-    return history_before(c.inputs, window_start(ETL_DATE), V)
+    """A history of the older rows, brought up to date with the recent ones."""
+    older = history_before(c.inputs, window_start(ETL_DATE), V)
+    return fold(older, recent_history(c.inputs, ETL_DATE, V))
 
 
 @case("job_account_type_edition_daily_kept", "SELECT * FROM dimension")
@@ -48,12 +59,14 @@ def _(c: Context):
 
 @case("job_events_daily_kept", "SELECT * FROM events_table")
 def _(c: Context):
-    return events_daily(c.inputs, c.dimension, ETL_DATE, V, _kept(c))
+    days = lookback_user_days(c.inputs, ETL_DATE, V)
+    return events_daily(c.inputs, c.dimension, ETL_DATE, V, _kept(c), days)
 
 
 @case("job_events_regional_daily_kept", "SELECT * FROM regional_table")
 def _(c: Context):
-    return events_regional_daily(c.inputs, c.dimension, ETL_DATE, V, _kept(c))
+    days = lookback_user_days(c.inputs, ETL_DATE, V)
+    return events_regional_daily(c.inputs, c.dimension, ETL_DATE, V, _kept(c), days)
 
 
 def total(column: str, name: str | None = None, where: str = "") -> str:
