@@ -119,7 +119,11 @@ def new_regional_accounts(inputs: Inputs, vocabulary: Vocabulary, end: Column) -
         .agg(F.min(_DAY).alias(_DAY))
         .filter(F.col(_DAY) >= end)
     )
-    return firsts.groupBy("region", _DAY).agg(F.count("account_id").alias("new_accounts")).drop(_DAY)
+    return (
+        firsts.groupBy("region", _DAY)
+        .agg(F.count("account_id").alias("new_accounts"))
+        .drop(_DAY)
+    )
 
 
 def new_regional_authors(
@@ -168,13 +172,15 @@ def regional_board(inputs: Inputs, vocabulary: Vocabulary, as_of: dt.date) -> Da
         F.count_if(F.col("on_day") & known).alias("daily_readers"),
         F.count_if(F.col("before") & known).alias("thirty_readers"),
     )
+    accounts = members_by_region(logins, "account_id", end, ("day_accounts", "accounts"))
+    authors = members_by_region(logins, "user_id", end, ("day_authors", "authors"))
     board = (
         inputs.regions.filter(F.col("region_code").isin(*vocabulary.board_regions))
         .select(F.col("region_code").alias("region"))
         .join(new_regional_accounts(inputs, vocabulary, end), "region", "left")
         .join(new_regional_authors(external, inputs, vocabulary, end), "region", "left")
-        .join(members_by_region(logins, "account_id", end, ("day_accounts", "accounts")), "region", "left")
-        .join(members_by_region(logins, "user_id", end, ("day_authors", "authors")), "region", "left")
+        .join(accounts, "region", "left")
+        .join(authors, "region", "left")
         .join(readers, "region", "left")
     )
     # Titles of the board.

@@ -54,7 +54,10 @@ def restate(
 
 
 def purge_suspended(
-    dimension: DataFrame, account_details: DataFrame, vocabulary: Vocabulary, with_fraud: bool = True
+    dimension: DataFrame,
+    account_details: DataFrame,
+    vocabulary: Vocabulary,
+    with_fraud: bool = True,
 ) -> DataFrame:
     """Drop the accounts that are suspended; fact tables are left alone."""
     suspended = scan_suspended_accounts(account_details, vocabulary, with_fraud)

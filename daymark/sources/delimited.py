@@ -16,7 +16,7 @@ _FORMAT = {"sep": "|", "quote": '"', "escape": "\\", "charToEscapeQuoteEscaping"
 MAX_BAD_ROWS = 10
 
 _BAD = "_bad_record"
-_INVALID = "�"
+_INVALID = "\ufffd"
 
 
 def export_delimited(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
@@ -47,7 +47,7 @@ def import_delimited(
     that is too long. With more bad rows than allowed the query fails.
     """
     raw_schema = T.StructType(
-        [*[T.StructField(f.name, T.StringType()) for f in schema], T.StructField(_BAD, T.StringType())]
+        [T.StructField(name, T.StringType()) for name in [*schema.fieldNames(), _BAD]]
     )
     raw = (
         spark.read.schema(raw_schema)

@@ -143,7 +143,8 @@ def test_append_duplicates_and_replacing_days_does_not(spark, tmp_path, events):
         loads.append_load(events, appended, schema, keys)
         loads.replace_days_load(events, replaced, schema, keys)
     january = events.filter("computation_date >= '2024-01-01'")
-    loads.replace_days_load(january.withColumn("company_name", F.lit("new")), replaced, schema, keys)
+    renamed = january.withColumn("company_name", F.lit("new"))
+    loads.replace_days_load(renamed, replaced, schema, keys)
     assert loads.read_table(spark, appended, schema).count() == 2 * rows
     table = loads.read_table(spark, replaced, schema)
     assert table.columns == schema.fieldNames()

@@ -28,6 +28,10 @@ ROWS = st.lists(
     st.tuples(NAMES, st.sampled_from(["u", "v", "w", None]), st.booleans(), DAYS, NAMES),
     max_size=40,
 )
+DDL = (
+    "account_id string, user_id string, is_login boolean, computation_date date, "
+    "user_data string"
+)
 SLOW = settings(
     max_examples=12,
     deadline=None,
@@ -49,9 +53,8 @@ def windows(rows, width):
 @SLOW
 @given(ROWS)
 def test_rolling_activity_equals_brute_force(spark, rows):
-    ddl = "account_id string, user_id string, is_login boolean, computation_date date, user_data string"
     df = rolling_activity(
-        local_frame(spark, rows, ddl), ["account_id"], as_date(FIRST), as_date(LAST)
+        local_frame(spark, rows, DDL), ["account_id"], as_date(FIRST), as_date(LAST)
     )
     actual = {(r.calendar_date, r.account_id): r for r in df.collect()}
     for prefix, width in (("l30", 30), ("l7", 7)):
@@ -79,8 +82,7 @@ def test_rolling_activity_equals_brute_force(spark, rows):
 @SLOW
 @given(ROWS)
 def test_rolling_members_equal_the_range_join(spark, rows):
-    ddl = "account_id string, user_id string, is_login boolean, computation_date date, user_data string"
-    df = local_frame(spark, rows, ddl)
+    df = local_frame(spark, rows, DDL)
     fast = rolling_members(
         df, ["account_id"], "user_id", as_date(FIRST), as_date(LAST), {"n30": 30, "n7": 7}
     )
@@ -98,9 +100,8 @@ def test_rolling_members_equal_the_range_join(spark, rows):
 @SLOW
 @given(ROWS, st.sampled_from([1, 7, 30]))
 def test_left_range_join_keeps_every_day(spark, rows, width):
-    ddl = "account_id string, user_id string, is_login boolean, computation_date date, user_data string"
     spine = date_spine(spark, FIRST, LAST).select(F.col("date").alias("calendar_date"))
-    df = local_frame(spark, rows, ddl).select("account_id", "computation_date")
+    df = local_frame(spark, rows, DDL).select("account_id", "computation_date")
     joined = range_join(spine, df, "computation_date", width, FIRST, LAST).collect()
     expected = []
     for n in range((LAST - FIRST).days + 1):

@@ -136,7 +136,9 @@ def test_lookback_misses_one_day_before_first_of_march(make, words):
     assert found == [("a", None), ("b", 1)]
 
 
-@pytest.mark.parametrize("listed, kept", [(["a", None], set()), (["a"], {"b"}), ([], {"a", "b", None})])
+@pytest.mark.parametrize(
+    "listed, kept", [(["a", None], set()), (["a"], {"b"}), ([], {"a", "b", None})]
+)
 def test_not_in_with_null(spark, listed, kept):
     rows = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     excluded = spark.createDataFrame([(x,) for x in listed], "k string")
@@ -276,7 +278,12 @@ def board_of(make, words, as_of="2024-01-30", end="2024-01-28", **tables):
 
 def test_board_reader_window_has_29_days_and_ends_a_day_early(make, words):
     # Two days before the run is 28 January; 29 days before that is 30 December.
-    users = {"2023-12-29": "out", "2023-12-30": "first", "2024-01-27": "last", "2024-01-28": "day"}
+    users = {
+        "2023-12-29": "out",
+        "2023-12-30": "first",
+        "2024-01-27": "last",
+        "2024-01-28": "day",
+    }
     [row] = board_of(
         make, words, raw_events=[view(on, "a", u, region="IAD") for on, u in users.items()]
     )
@@ -365,7 +372,11 @@ def test_top_k_ties_and_nulls(spark):
         (["FreeTier"], "2023-11-01", ("free in trial", None)),
         (["FreeTier", "FreeTrial", "TotalStandard"], "2023-11-01", ("trial", "standard")),
         (["FreeTier", "FreeTrial", "PaidStandard"], "2023-11-01", ("paid in trial", None)),
-        (["PaidEnterprise", "TotalEnterprise", "TotalStandard"], "2023-11-01", ("paid", "enterprise")),
+        (
+            ["PaidEnterprise", "TotalEnterprise", "TotalStandard"],
+            "2023-11-01",
+            ("paid", "enterprise"),
+        ),
         (["FreeTrial"], "2023-11-01", (None, None)),
     ],
 )

@@ -28,7 +28,6 @@ from verification.oracle import (
     COUNTS,
     READER,
     _AUTHOR_PARTS,
-    activity_sql,
     amount,
     dated_usage_sql,
     net_sql,
