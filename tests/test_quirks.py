@@ -94,7 +94,8 @@ def test_metered_account_without_events_appears_twice(make, words):
         ("a", "company a", None),
         ("a", None, 1),
     ]
-    assert check_unique_key(df, ["computation_date", "account_id"]).count() == 21  # 10 to 30 January
+    doubled = check_unique_key(df, ["computation_date", "account_id"])
+    assert doubled.count() == 21  # 10 to 30 January
 
 
 def test_same_login_twice_is_one_tuple_but_two_events(make, words):
@@ -293,7 +294,8 @@ def test_board_reader_window_has_29_days_and_ends_a_day_early(make, words):
 
 
 def test_board_fans_out_over_first_days(make, words):
-    seen = [("a", "IAD", "external", day("2024-01-28")), ("b", "IAD", "external", day("2024-01-29"))]
+    first_days = {"a": "2024-01-28", "b": "2024-01-29"}
+    seen = [(name, "IAD", "external", day(on)) for name, on in first_days.items()]
     rows = board_of(make, words, account_daily=seen)
     assert [r["New Accounts"] for r in rows] == [1, 1]
 
