@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import byte_cnn, token_files
+from daymark.llm import byte_cnn, jaccard_join, token_files
 from daymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +16,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op6_language_id": op6_language_id,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
 }
 ORACLE_SQL: dict[str, str] = {}
