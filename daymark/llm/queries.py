@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import byte_cnn, jaccard_join, token_files
+from daymark.llm import byte_cnn, jaccard_join, token_files, topk_search
 from daymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op6_language_id": op6_language_id,
+    "op7_topk_search": op7_topk_search,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
 }
