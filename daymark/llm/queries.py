@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import byte_cnn, jaccard_join, token_files, topk_search
+from daymark.llm import byte_cnn, decontaminate, jaccard_join, token_files, topk_search
 from daymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.identify(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_decontaminate": op3_decontaminate,
     "op6_language_id": op6_language_id,
     "op7_topk_search": op7_topk_search,
     "op9_jaccard_join": op9_jaccard_join,
