@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daymark.llm import byte_cnn, decontaminate, jaccard_join, token_files, topk_search
+from daymark.llm import byte_cnn, decontaminate, jaccard_join, mixing, suffix_dedup, token_files, topk_search
 from daymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,15 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mixture(table(spark, sf_dir, "documents"))
+    return rows.withColumns({c: F.round(c, 9) for c in ("weight", "exponent")})
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.identify(table(spark, sf_dir, "documents"))
 
@@ -34,9 +44,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_decontaminate": op3_decontaminate,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_mixing": op5_mixing,
     "op6_language_id": op6_language_id,
     "op7_topk_search": op7_topk_search,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_mixing": mixing.ORACLE_SQL,
+}
