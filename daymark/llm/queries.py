@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import byte_cnn, decontaminate, jaccard_join, mixing, nbsvm, suffix_dedup, token_files, topk_search
+from daymark.llm import byte_cnn, decontaminate, jaccard_join, mixing, nbsvm, semi_crf, suffix_dedup, token_files, topk_search
 from daymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_semi_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return semi_crf.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_semi_crf": op1_semi_crf,
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op4_suffix_dedup": op4_suffix_dedup,
