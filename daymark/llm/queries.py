@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import byte_cnn, decontaminate, jaccard_join, mixing, nbsvm, semi_crf, suffix_dedup, token_files, topk_search
+from daymark.llm import byte_cnn, decontaminate, jaccard_join, mixing, nbsvm, semi_crf, suffix_dedup, token_files, topk_search, transcripts
 from daymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op8_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transcripts.canonical(table(spark, sf_dir, "conversations"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_language_id": op6_language_id,
     "op7_topk_search": op7_topk_search,
+    "op8_transcripts": op8_transcripts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
 }
