@@ -24,6 +24,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,7 +48,7 @@ BLOCK_TOKENS = 1 << 16
 CHECKPOINT_STEPS = 128
 #: Blocks that numpy packs or unpacks side by side.
 BLOCKS_TOGETHER = 24
-#: Pieces that a worker remembers before it starts anew.
+#: Pieces that a worker remembers, twice over, before it forgets those not met again.
 REMEMBERED = 500_000
 #: Marks that, after letters, form one token group of their own; fixed by the tokenizer.
 MARKS = ".,;:!?*$%&#|()[]+-_=/"
@@ -88,6 +89,8 @@ class Encoder(dict):
         self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         self.line_end = self.whole("\n")
 
@@ -102,22 +105,28 @@ class Encoder(dict):
         return np.array(ids, self.kind).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
+        if (ids := self.older.get(piece)) is not None:
+            self[piece] = ids
+            return ids
         begins_line = piece[:1] == "\n"
         word = piece[1:] if begins_line else piece
         if not word or word[0].isspace():
             raise Irregular
         stem = word.rstrip(MARKS)
         if stem.isalpha():  # one letter run and one run of marks: the model alone will do
-            spelled = stem.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_LETTERS)
-            found = self.model.tokenize(spelled if begins_line else BYTE_LETTERS[32] + spelled)
-            ids = np.array([t.id for t in found], self.kind).tobytes()
-            if begins_line:
-                ids = self.line_end + ids
             if len(stem) < len(word):
                 tail = word[len(stem) :]
                 if tail not in self.marks:
                     self.marks[tail] = self.whole(tail)
-                ids += self.marks[tail]
+                ids = self[piece[: len(piece) - len(tail)]] + self.marks[tail]
+                self[piece] = ids
+                return ids
+            if not stem.isascii():
+                stem = stem.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_LETTERS)
+            found = self.model.tokenize(stem if begins_line else BYTE_LETTERS[32] + stem)
+            ids = array(self.code, [t.id for t in found]).tobytes()
+            if begins_line:
+                ids = self.line_end + ids
         else:
             ids = self.whole(piece if begins_line else " " + piece)
         self[piece] = ids
@@ -132,7 +141,8 @@ class Encoder(dict):
             ids = b"".join(map(self.__getitem__, pieces))[len(self.line_end) :]
         except Irregular:
             ids = self.whole(text)
-        if len(self) > REMEMBERED or len(self.marks) > REMEMBERED:
+        if len(self) > REMEMBERED:  # what is not met again in the next round is forgotten
+            self.older = dict(self)
             self.clear()
             self.marks.clear()
         return ids
@@ -192,6 +202,7 @@ class Coder:
         cumulated = np.concatenate([[0], np.cumsum(freq)])[:-1]
         self.freq, self.cum = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
         self.freq[ids], self.cum[ids] = freq, cumulated
+        self.both = (self.freq << WORD_BITS) | self.cum
         self.symbol = np.repeat(ids, freq).astype(np.int32 if size > 1 << 16 else np.uint16)
         self.slots = np.uint64((1 << scale) - 1)
 
@@ -212,7 +223,9 @@ class Coder:
         states: dict[int, np.ndarray] = {}
         for t in range(most - 1, -1, -1):
             s = ids[:, t, :]
-            f, c = self.freq[s], self.cum[s]
+            c = self.both[s]
+            f = c >> WORD_BITS
+            c &= LOW_WORD
             if t >= full:
                 live = place[t][None, :] < sizes[:, None]
                 f = np.where(live, f, np.uint64(1))
@@ -264,7 +277,8 @@ class Coder:
         for t in range(most):
             slot = x & self.slots
             s = self.symbol[slot]
-            y = self.freq[s] * (x >> self.scale) + slot - self.cum[s]
+            c = self.both[s]
+            y = (c >> WORD_BITS) * (x >> self.scale) + slot - (c & LOW_WORD)
             need = y < LOWEST
             if t >= full:
                 live = place[t][None, :] < sizes[:, None]
