@@ -62,7 +62,7 @@ def densify(
     return days.join(F.broadcast(calendar), "calendar_date")
 
 
-def days_reached(day: Column, width: int, first: Column, last: Column) -> Column:
+def days_reached(day: Column, width: int | Column, first: Column, last: Column) -> Column:
     """The days of ``[first, last]`` whose window of ``width`` days contains ``day``.
 
     Empty when there is none (``sequence`` alone would count backwards).

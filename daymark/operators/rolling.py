@@ -5,8 +5,10 @@ is in the window of ``w`` days ending on ``c`` exactly when its *latest* active
 up to ``c`` lies fewer than ``w`` days back. So each active day stands for the
 member until the next active day or for ``w`` days, whichever is shorter; that
 length is its ``span``. Members with the same day and span are counted together
-first, and only those small counts are spread over the calendar. No member row is
-copied ``w`` times, and a very active account never meets in one task.
+first, and these counts are copied to the days of their span, no further: a member
+is copied at most once per day on which it counts. A very active account never
+meets in one task. What needs every active day of a window, not just the latest
+one, comes from one more row per key and day that is copied to the whole window.
 """
 
 from __future__ import annotations
@@ -34,19 +36,14 @@ def member_spans(
 
 
 def spread(
-    counts: DataFrame, first: Column, last: Column, day: str = "computation_date", reach: int = LONG
+    counts: DataFrame, first: Column, last: Column, day: str = "computation_date"
 ) -> DataFrame:
-    """Copy pre-counted rows to the calendar days they reach, with their ``age``."""
+    """Copy pre-counted rows to the calendar days of their ``span``, with their ``age``."""
     return counts.withColumn(
-        "calendar_date", F.explode(days_reached(F.col(day), reach, first, last))
+        "calendar_date", F.explode(days_reached(F.col(day), F.col("span"), first, last))
     ).withColumn("age", F.datediff("calendar_date", day))
 
 
-def in_span(width: int) -> Column:
-    """The row stands for its members in the window of ``width`` days."""
-    return F.col("age") < F.least(F.col("span"), F.lit(width))
-
-
 def rolling_members(
     rows: DataFrame,
     keys: Sequence[str],
@@ -58,22 +55,22 @@ def rolling_members(
 ) -> DataFrame:
     """Distinct members per calendar day and key, one output column per width.
 
-    A column is NULL where its own window holds no row at all.
+    A column is NULL where its own window holds no row at all; where it holds one,
+    it holds the latest day of some member, within its span.
     """
     reach = max(outputs.values())
     days = rows.select(*keys, member, day).distinct()
     spans = member_spans(days, [*keys, member], day, reach)
     counts = spans.groupBy(*keys, day, "span").agg(F.count(member).alias("members"))
     return (
-        spread(counts, first, last, day, reach)
+        spread(counts, first, last, day)
         .groupBy("calendar_date", *keys)
         .agg(*[_sum_in(width).alias(name) for name, width in outputs.items()])
     )
 
 
 def _sum_in(width: int) -> Column:
-    members = F.when(in_span(width), F.col("members")).otherwise(0)
-    return F.sum(F.when(F.col("age") < width, members))
+    return F.sum(F.when(F.col("age") < width, F.col("members")))
 
 
 def activity_member_days(activity: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -107,6 +104,11 @@ def rolling_of_member_days(
     counts = spans.groupBy(*keys, "computation_date", "is_login", "span").agg(
         F.count("user_id").alias("members"), F.sum("tuples").alias("tuples")
     )
+    # Login totals and the first day of a window need all of its days.
+    whole = counts.groupBy(*keys, "computation_date", "is_login").agg(
+        F.lit(LONG).alias("span"), F.lit(0).cast("bigint").alias("members"), F.sum("tuples").alias("tuples")
+    )
+    counts = counts.withColumn("tuples", F.lit(None).cast("bigint")).unionByName(whole)
     columns = []
     for prefix, width in (("l30", LONG), ("l7", SHORT)):
         columns += _activity_columns(prefix, width)
@@ -126,12 +128,11 @@ def _activity_columns(prefix: str, width: int) -> list[Column]:
     def total(kind: Column, value: Column) -> Column:
         return F.sum(F.when(kind, value).when(inside, F.lit(0)))
 
-    members = F.when(in_span(width), F.col("members")).otherwise(0)
     return [
         F.min(day).alias(f"{prefix}_period_first_event_date"),
         F.max(day).alias(f"{prefix}_period_last_event_date"),
-        total(view, members).alias(f"{prefix}_count_active_reader"),
-        total(login, members).alias(f"{prefix}_login_users"),
+        total(view, F.col("members")).alias(f"{prefix}_count_active_reader"),
+        total(login, F.col("members")).alias(f"{prefix}_login_users"),
         total(login, F.col("tuples")).alias(f"{prefix}_total_login_event"),
         F.max(F.when(inside, F.col("is_login").cast("bigint"))).alias(
             f"{prefix}_count_active_accounts"

@@ -3,24 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daymark.config import Inputs, Vocabulary
 from daymark.plans.account_dimension import account_type_edition_daily
 from daymark.plans.events import (
     events_daily,
     events_regional_daily,
-    first_login_days,
     lookback_user_days,
 )
 from daymark.plans.history import (
     HISTORY_TABLES,
     History,
-    fold,
+    advanced,
+    brought_up_to_date,
     history_before,
-    recent_history,
     window_start,
 )
 from daymark.plans.revenue import revenue_daily
@@ -46,8 +45,8 @@ def run_daily(
     """Load all five tables; the dimension is loaded first and read by the others.
 
     A rerun replaces the same days. The activity per user is stored once for the two
-    tables that need it. With a ``kept`` history the rows before the run window and
-    its lookback are not read. What is stored also cuts the lineage of the tables
+    tables that need it. With a ``kept`` history the rows before its end, or before
+    the lookback of the window, are not read. What is stored also cuts the lineage of the tables
     after it, so a lost executor does not bring all work back.
     """
     spark = inputs.raw_events.sparkSession
@@ -57,12 +56,8 @@ def run_daily(
 
     history = None
     if kept is not None:
-        recent = replace(
-            recent_history(inputs, etl_date, vocabulary),
-            first_logins=first_login_days(user_days, ["account_id"]),
-            first_regional_logins=first_login_days(user_days, ["account_id", "region"]),
-        )
-        history = fold(kept, recent)
+        history = brought_up_to_date(kept, inputs, etl_date, vocabulary)
+        history = _stored_history(history, f"{base}/_history/{etl_date}", "overwrite")
 
     name = "account_type_edition_daily"
     dimension = account_type_edition_daily(inputs, etl_date, vocabulary, history)
@@ -77,12 +72,31 @@ def run_daily(
     return tables | {name: load_table(df, base, name) for name, df in facts.items()}
 
 
+def _stored_history(history: History, path: str, mode: str) -> History:
+    """Write a history with the day it ends before, and read it back."""
+    spark = history.join_dates.sparkSession
+    for name in HISTORY_TABLES:
+        getattr(history, name).write.mode(mode).parquet(f"{path}/{name}")
+    end = spark.range(1).select(F.lit(history.until).cast("date").alias("until"))
+    end.write.mode(mode).parquet(f"{path}/until")
+    return read_history(spark, path)
+
+
+def read_history(spark: SparkSession, path: str) -> History:
+    tables = {n: spark.read.parquet(f"{path}/{n}") for n in HISTORY_TABLES}
+    return History(**tables, until=spark.read.parquet(f"{path}/until").first()["until"])
+
+
 def keep_history(
     inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary, path: str
 ) -> History:
     """Write the history before the run window to a new ``path``, and read it back."""
-    spark = inputs.raw_events.sparkSession
     history = history_before(inputs, window_start(etl_date), vocabulary)
-    for name in HISTORY_TABLES:
-        getattr(history, name).write.mode("errorifexists").parquet(f"{path}/{name}")
-    return History(**{n: spark.read.parquet(f"{path}/{n}") for n in HISTORY_TABLES})
+    return _stored_history(history, path, "errorifexists")
+
+
+def advance_history(
+    kept: History, inputs: Inputs, to_day: dt.date, vocabulary: Vocabulary, path: str
+) -> History:
+    """Write ``kept`` with the rows up to, but without, ``to_day`` to a new ``path``."""
+    return _stored_history(advanced(kept, inputs, to_day, vocabulary), path, "errorifexists")

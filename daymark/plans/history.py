@@ -2,9 +2,10 @@
 
 Three figures need every row ever loaded: a user's first login, an account's last
 login, and an account's first metric day. Kept per user or account up to a day,
-they replace the scan of all older rows: folding in the rows from that day on
-gives exactly what a scan of all rows gives. Rows that arrive for older days are
-seen only after the history is built again.
+they replace the scan of all older rows. A history knows the day it ends before
+(``until``), and is brought up to date from that very day, so it may be of any age:
+the result is exactly that of a scan of all rows. Rows that arrive later for days
+before ``until`` are seen only after the history is built again.
 """
 
 from __future__ import annotations
@@ -13,34 +14,46 @@ import datetime as dt
 from dataclasses import dataclass, fields, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymark.config import Inputs, Vocabulary
-from daymark.functions.dates import months_before
 from daymark.functions.predicates import is_event
-from daymark.operators.aggregates import first_logins
 from daymark.sources.tables import scan_product
 
-USER, REGION_USER = ["account_id"], ["account_id", "region"]
+USER = ["account_id", "region", "user_id"]
 
 
-def seen_accounts(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
-    """Accounts with events or revenue, from one pass over each table.
+def user_facts(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
+    """First login day and last login of every user and region, from one pass over events.
 
-    Gives the last login, and whether the account has revenue rows.
+    Users without a login are there too: their accounts have been seen.
     """
-    logged_in = F.when(is_event(vocabulary.login), F.col("event_day"))
-    events = inputs.raw_events.select(
-        "account_id", logged_in.alias("login"), F.lit(False).alias("billed")
+    login = F.when(is_event(vocabulary.login), F.col("event_day"))
+    return inputs.raw_events.groupBy(*USER).agg(
+        F.to_date(F.min(login)).alias("first_login_date"), F.max(login).alias("last_login_date")
     )
+
+
+def seen_accounts(
+    inputs: Inputs, vocabulary: Vocabulary, users: DataFrame | None = None
+) -> DataFrame:
+    """Accounts with events or revenue.
+
+    Gives the last login, and whether the account has revenue rows.
+    """
+    if users is None:
+        users = user_facts(inputs, vocabulary)
+    events = users.select("account_id", "last_login_date", F.lit(False).alias("billed"))
     revenue = scan_product(inputs.business_metrics, vocabulary).select(
-        "account_id", F.lit(None).cast("timestamp_ntz").alias("login"), F.lit(True).alias("billed")
+        "account_id",
+        F.lit(None).cast("timestamp_ntz").alias("last_login_date"),
+        F.lit(True).alias("billed"),
     )
     return (
         events.union(revenue)
         .groupBy("account_id")
-        .agg(F.max("login").alias("last_login_date"), F.max("billed").alias("billed"))
+        .agg(F.max("last_login_date").alias("last_login_date"), F.max("billed").alias("billed"))
     )
 
 
@@ -55,21 +68,36 @@ def join_dates(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
 
 @dataclass(frozen=True)
 class History:
-    """One row per user, user and region, account, and account."""
+    """One row per user, user and region, account, and account.
+
+    ``until`` is the first day whose rows are not in it; None if nothing was cut off.
+    """
 
     first_logins: DataFrame
     first_regional_logins: DataFrame
     seen_accounts: DataFrame
     join_dates: DataFrame
-
-
-def history_of(inputs: Inputs, vocabulary: Vocabulary) -> History:
-    """The history of all rows given; filter the inputs to build it up to a day."""
+    until: dt.date | None = None
+
+
+def history_of(
+    inputs: Inputs,
+    vocabulary: Vocabulary,
+    users: DataFrame | None = None,
+    until: dt.date | None = None,
+) -> History:
+    """The history of all rows given; ``users`` are their facts, where stored already."""
+    if users is None:
+        users = user_facts(inputs, vocabulary)
+    regional = users.filter(F.col("first_login_date").isNotNull()).drop("last_login_date")
     return History(
-        first_logins=first_logins(inputs.raw_events, USER, vocabulary),
-        first_regional_logins=first_logins(inputs.raw_events, REGION_USER, vocabulary),
-        seen_accounts=seen_accounts(inputs, vocabulary),
+        first_logins=regional.groupBy("account_id", "user_id").agg(
+            F.min("first_login_date").alias("first_login_date")
+        ),
+        first_regional_logins=regional,
+        seen_accounts=seen_accounts(inputs, vocabulary, users),
         join_dates=join_dates(inputs, vocabulary),
+        until=until,
     )
 
 
@@ -85,13 +113,43 @@ def rows_where(inputs: Inputs, test) -> Inputs:
     )
 
 
-def window_start(etl_date: dt.date) -> Column:
-    """A run keeps its history up to the day before this one."""
-    return months_before(etl_date, 1)
+def window_start(etl_date: dt.date) -> dt.date:
+    """The first day of the run window: a run loads its days again."""
+    return (etl_date.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
 
 
-def history_before(inputs: Inputs, start: Column, vocabulary: Vocabulary) -> History:
-    return history_of(rows_where(inputs, lambda day: day < start), vocabulary)
+def rows_between(inputs: Inputs, first: dt.date | None, until: dt.date | None) -> Inputs:
+    """Rows of the days from ``first`` up to, but without, ``until``."""
+    if first is not None:
+        inputs = rows_where(inputs, lambda day: day >= F.lit(first))
+    if until is not None:
+        inputs = rows_where(inputs, lambda day: day < F.lit(until))
+    return inputs
+
+
+def history_before(inputs: Inputs, until: dt.date, vocabulary: Vocabulary) -> History:
+    return history_of(rows_between(inputs, None, until), vocabulary, until=until)
+
+
+def advanced(kept: History, inputs: Inputs, until: dt.date, vocabulary: Vocabulary) -> History:
+    """``kept`` with the rows of the days between its end and ``until``."""
+    if until < kept.until:
+        raise ValueError(f"the history ends before {kept.until}, after {until}")
+    between = rows_between(inputs, kept.until, until)
+    return replace(fold(kept, history_of(between, vocabulary)), until=until)
+
+
+def brought_up_to_date(
+    kept: History, inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary
+) -> History:
+    """``kept`` with all rows from its end on, for the run of ``etl_date``.
+
+    A run loads the days of its window again, from rows that may have changed; so a
+    history that reaches into the window is refused.
+    """
+    if kept.until > window_start(etl_date):
+        raise ValueError(f"the history ends before {kept.until}, inside the window of {etl_date}")
+    return fold(kept, history_of(rows_between(inputs, kept.until, None), vocabulary))
 
 
 def fold(older: History, newer: History) -> History:
@@ -121,10 +179,4 @@ def _fold(*parts: DataFrame) -> DataFrame:
     )
 
 
-def recent_history(inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary) -> History:
-    """The history of the rows from the run window on, to be folded into a kept one."""
-    start = window_start(etl_date)
-    return history_of(rows_where(inputs, lambda day: day >= start), vocabulary)
-
-
-HISTORY_TABLES = tuple(f.name for f in fields(History))
+HISTORY_TABLES = tuple(f.name for f in fields(History) if f.name != "until")

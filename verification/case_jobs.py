@@ -16,9 +16,9 @@ from daymark.plans.events import (
     lookback_user_days,
 )
 from daymark.plans.history import (
-    fold,
+    advanced,
+    brought_up_to_date,
     history_before,
-    recent_history,
     window_start,
 )
 from daymark.sources.tables import scan_external_events
@@ -48,8 +48,34 @@ case("job_user_rolling_period", "SELECT * FROM rolling_table")(lambda c: c.rolli
 
 def _kept(c: Context):
     """A history of the older rows, brought up to date with the recent ones."""
-    older = history_before(c.inputs, window_start(ETL_DATE), V)
-    return fold(older, recent_history(c.inputs, ETL_DATE, V))
+    return brought_up_to_date(
+        history_before(c.inputs, window_start(ETL_DATE), V), c.inputs, ETL_DATE, V
+    )
+
+
+def _kept_older(c: Context):
+    """A history of an early day, advanced twice, and then brought up to date."""
+    kept = history_before(c.inputs, dt.date(2023, 9, 20), V)
+    for day in (dt.date(2023, 10, 5), dt.date(2023, 11, 17)):
+        kept = advanced(kept, c.inputs, day, V)
+    return brought_up_to_date(kept, c.inputs, ETL_DATE, V)
+
+
+@case("job_account_type_edition_daily_kept_older", "SELECT * FROM dimension")
+def _(c: Context):
+    return account_type_edition_daily(c.inputs, ETL_DATE, V, _kept_older(c))
+
+
+@case("job_events_daily_kept_older", "SELECT * FROM events_table")
+def _(c: Context):
+    days = lookback_user_days(c.inputs, ETL_DATE, V)
+    return events_daily(c.inputs, c.dimension, ETL_DATE, V, _kept_older(c), days)
+
+
+@case("job_events_regional_daily_kept_older", "SELECT * FROM regional_table")
+def _(c: Context):
+    days = lookback_user_days(c.inputs, ETL_DATE, V)
+    return events_regional_daily(c.inputs, c.dimension, ETL_DATE, V, _kept_older(c), days)
 
 
 @case("job_account_type_edition_daily_kept", "SELECT * FROM dimension")

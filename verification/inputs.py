@@ -18,7 +18,7 @@ ETL_DATE = dt.date(2024, 1, 30)
 FIRST_DAY = dt.date(2023, 12, 15)
 TOP_DAY = dt.date(2024, 1, 15)
 REPORTING_DATE = dt.date(2024, 1, 29)
-PAYER = "1"
+PAYER = "19"
 VOCABULARY = Vocabulary(product_code="P", board_regions=("AFRICA", "ASIA", "EUROPE"))
 
 _SIGNUP = ["UserActivated", "UserInvite", "Unsubscribe", "PreparedDataSourceCreated"]

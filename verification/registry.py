@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -59,9 +58,9 @@ class Context:
         return self.inputs.raw_events.withColumn("day", F.to_date("event_day"))
 
     def new_path(self) -> str:
-        """A new folder in the shared folder of the session, if it names one."""
+        """A new folder in the session's shared folder, or else in its warehouse."""
         base = self.spark.conf.get("spark.checkpoint.dir", None)
-        return f"{base or tempfile.mkdtemp(prefix='run-')}/{uuid.uuid4().hex}"
+        return f"{base or self.spark.conf.get('spark.sql.warehouse.dir')}/{uuid.uuid4().hex}"
 
 
 @cache
