@@ -10,8 +10,8 @@ How the join is done, with nothing emitted per pair:
 
 1. Each set gets 160 MinHash values. 32 bands of five of them are buckets; a pair at the
    threshold shares none with a probability of 3e-6.
-2. Sets that share a bucket with another are dealt into blocks of bounded size by their
-   largest bucket, so that a group of near copies shares blocks however large it is. Pairs
+2. Sets that share a bucket with another are dealt into blocks of bounded size by the
+   largest bucket that they or their neighbours are in, so that a group of near copies shares blocks however large it is. Pairs
    of blocks with a bucket in common are compared; a hot bucket becomes many such pairs.
 3. In a pair of blocks, MinHash values are compared 16 at a time. A pair of sets is dropped
    once the posterior probability of reaching the threshold, for a uniform prior, is below
@@ -45,10 +45,12 @@ HASHES = BANDS * BAND_ROWS
 STEP = 16
 TOLERANCE = 1e-6
 #: A block ends at so many sets or shingles; a single set may be larger.
-BLOCK_SETS = 256
-BLOCK_SHINGLES = 150_000
+BLOCK_SETS = 2048
+BLOCK_SHINGLES = 400_000
+#: Sets of the left block whose pairs are looked at together.
+ROWS = 64
 #: Shingles that an exact comparison lays out side by side.
-WIDE = 8192
+WIDE = 4096
 
 _RNG = np.random.default_rng(20_240_501)
 FACTORS = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -120,21 +122,20 @@ def linked_pairs(
     left: list[np.ndarray], left_hash: np.ndarray, right: list[np.ndarray], right_hash: np.ndarray, same: bool
 ) -> tuple[np.ndarray, np.ndarray]:
     """Indices of the pairs whose similarity reaches the threshold."""
-    i, j = np.triu_indices(len(left), 1) if same else np.indices((len(left), len(right))).reshape(2, -1)
     size_l, size_r = np.array([len(s) for s in left]), np.array([len(s) for s in right])
-    # Sets whose sizes alone keep them below the threshold need no look at their values.
-    low, high = np.minimum(size_l[i], size_r[j]), np.maximum(size_l[i], size_r[j])
-    keep = low >= SIMILARITY * high - 1e-9
-    i, j = i[keep], j[keep]
-    matches = np.zeros(len(i), np.int32)
-    for k, least in enumerate(least_matches(SIMILARITY, TOLERANCE)):
-        if not len(i):
-            return i, j
-        part = slice(k * STEP, (k + 1) * STEP)
-        matches += (left_hash[i, part] == right_hash[j, part]).sum(axis=1, dtype=np.int32)
-        keep = matches >= least
-        if not keep.all():
-            i, j, matches = i[keep], j[keep], matches[keep]
+    some_i, some_j = [], []
+    for a in range(0, len(left), ROWS):
+        i, j = np.indices((min(ROWS, len(left) - a), len(right))).reshape(2, -1)
+        i += a
+        # Sets whose sizes alone keep them below the threshold need no look at their values.
+        low, high = np.minimum(size_l[i], size_r[j]), np.maximum(size_l[i], size_r[j])
+        keep = low >= SIMILARITY * high - 1e-9
+        if same:
+            keep &= i < j
+        i, j = _probable(i[keep], j[keep], left_hash, right_hash)
+        some_i.append(i)
+        some_j.append(j)
+    i, j = np.concatenate(some_i), np.concatenate(some_j)
     if not len(i):
         return i, j
     if len(i) <= 4 * (len(left) + len(right)):
@@ -146,11 +147,25 @@ def linked_pairs(
     return i[keep], j[keep]
 
 
+def _probable(i: np.ndarray, j: np.ndarray, left_hash: np.ndarray, right_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that more and more of their MinHash values leave probable."""
+    matches = np.zeros(len(i), np.int32)
+    for k, least in enumerate(least_matches(SIMILARITY, TOLERANCE)):
+        if not len(i):
+            break
+        part = slice(k * STEP, (k + 1) * STEP)
+        matches += (left_hash[i, part] == right_hash[j, part]).sum(axis=1, dtype=np.int32)
+        keep = matches >= least
+        if not keep.all():
+            i, j, matches = i[keep], j[keep], matches[keep]
+    return i, j
+
+
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections, as products of 0/1 matrices over the shared shingles."""
     l_all, r_all = np.concatenate(left), np.concatenate(right)
     shared = np.intersect1d(l_all, r_all)
-    total = np.zeros((len(left), len(right)))
+    total = np.zeros((len(left), len(right)), np.float32)
     l_row = np.repeat(np.arange(len(left)), [len(s) for s in left])
     r_row = np.repeat(np.arange(len(right)), [len(s) for s in right])
     l_col, r_col = np.searchsorted(shared, l_all), np.searchsorted(shared, r_all)
@@ -301,6 +316,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(members.join(sizes, "bucket"), "buckets")
     homes = members.groupBy("set_id").agg(F.max(F.struct("n", "bucket")).alias("home"))
+    # Sets of one dense group differ in their largest bucket; they move to the largest that
+    # any set has with which they share a bucket, so that the group is in few blocks.
+    known = members.select("set_id", "bucket").join(homes, "set_id")
+    best = known.groupBy("bucket").agg(F.max("home").alias("home"))
+    homes = members.select("set_id", "bucket").join(best, "bucket").groupBy("set_id").agg(F.max("home").alias("home"))
     homes = homes.join(sets.select("set_id", "n_shingles"), "set_id")
     room = homes.groupBy("home").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("shingles"))
     slots = F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES))
