@@ -120,7 +120,8 @@ def _items(benchmark: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, start, n_words, similarity, distance of each leaked item.
 
-    One row per document and item: of its windows the most similar, then the first.
+    One row per document and item: of the windows placed on it the most similar, then the
+    first. (Another start may be as similar where an end of the item is missing.)
     ``start`` and ``n_words`` count words, ``distance`` differing bits of the fingerprints.
     """
     items = stored(_items(benchmark), "items")

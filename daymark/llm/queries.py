@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from daymark.llm import byte_cnn, decontaminate, jaccard_join, mixing, nbsvm, semi_crf, suffix_dedup, token_files, topk_search, transcripts
 from daymark.llm.common import table
+from daymark.llm.oracle import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +23,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_words", F.round("similarity", 9).alias("similarity"))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +68,3 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
 }
-ORACLE_SQL: dict[str, str] = {
-    "op5_mixing": mixing.ORACLE_SQL,
-}
