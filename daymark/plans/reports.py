@@ -28,10 +28,10 @@ def external_rows(table: DataFrame, days: Column, vocabulary: Vocabulary) -> Dat
     """Rows of external customers, with decimals that have room for a grand total.
 
     Stored amounts have 30 decimals and 8 integer digits; a sum over all accounts
-    outgrows that. Ten decimals hold every amount the jobs compute exactly.
+    outgrows that. Twenty decimals leave the sum eighteen integer digits.
     """
     roomy = {
-        f.name: F.col(f.name).cast("decimal(28,10)")
+        f.name: F.col(f.name).cast("decimal(36,20)")
         for f in table.schema
         if isinstance(f.dataType, T.DecimalType)
     }
@@ -114,19 +114,27 @@ def regional_snapshot_report(
     regional: DataFrame, as_of: dt.date, vocabulary: Vocabulary
 ) -> DataFrame:
     """The day before ``as_of`` by region."""
-    active = F.count_distinct(F.when(F.col("active_account"), F.col("account_id")))
     day = F.date_sub(as_date(as_of), 1)
-    return external_rows(regional, F.col(_DAY) == day, vocabulary).groupBy(_DAY, "region").agg(
-        _new_accounts(),
-        *sums(new_author="count_new_authors"),
-        active.alias("avtive_account"),
-        *sums(
-            active_authors="count_active_authors",
-            active_readers="count_active_readers",
-            l30_active_account="l30_count_active_accounts",
-            l30_active_authors="l30_count_active_authors",
-            l30_active_readers="l30_count_active_reader",
-        ),
+    totals = {
+        "new_author": "count_new_authors",
+        "active_authors": "count_active_authors",
+        "active_readers": "count_active_readers",
+        "l30_active_account": "l30_count_active_accounts",
+        "l30_active_authors": "l30_count_active_authors",
+        "l30_active_readers": "l30_count_active_reader",
+    }
+    # One row per account first, so that no distinct count is left.
+    rows = external_rows(regional, F.col(_DAY) == day, vocabulary)
+    accounts = rows.groupBy(_DAY, "region", "account_id").agg(
+        F.max(F.col(_DAY) == F.col("join_date")).alias("joined"),
+        F.max("active_account").alias("active"),
+        *sums(**totals),
+    )
+    named = F.col("account_id").isNotNull()
+    return accounts.groupBy(_DAY, "region").agg(
+        F.count_if(named & F.col("joined")).alias("new_account"),
+        F.count_if(named & F.col("active")).alias("avtive_account"),
+        *sums(**{name: name for name in totals}),
     )
 
 

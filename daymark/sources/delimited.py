@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 
 from daymark.schemas import MAX_BYTES
 
-# The format of the files, and the bad rows an import tolerates.
+# The format of the files, and the bad rows that restoring tolerates.
 _FORMAT = {"sep": "|", "quote": '"', "escape": "\\", "charToEscapeQuoteEscaping": "\\"}
 MAX_BAD_ROWS = 10
 
-_BAD = "_bad_record"
+_BAD, _REASON, _RAW, _FILE = "_bad_record", "_bad_reason", "_bad_text", "_file"
 _INVALID = "\ufffd"
 
 
@@ -38,36 +38,71 @@ def export_delimited(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -
 
 
 def import_delimited(
-    spark: SparkSession, path: str, schema: T.StructType, max_bad_rows: int = MAX_BAD_ROWS
+    spark: SparkSession, path: str, schema: T.StructType, max_bad_rows: int = 0
 ) -> DataFrame:
-    """Read files into the declared table, skipping up to ``max_bad_rows`` bad rows.
+    """Read files into the declared table; more than ``max_bad_rows`` bad rows fail it.
 
     Empty or blank text becomes NULL and an invalid character a space. A row is bad
     if it has the wrong number of fields, a value that is not of its type, or a text
-    that is too long. With more bad rows than allowed the query fails.
+    that is too long. ``import_with_rejects`` also keeps the rows that are skipped.
     """
+    typed = _typed(_raw(spark, path, schema), schema)
+    bad_rows = typed.agg(F.count_if(F.col(_BAD)).alias("n")).scalar()
+    message = F.concat(bad_rows.cast("string"), F.lit(f" bad rows in {path}"))
+    allowed = F.when(
+        bad_rows > max_bad_rows, F.raise_error(message).cast("boolean")
+    ).otherwise(True)
+    return typed.filter(allowed & ~F.col(_BAD)).select(*schema.fieldNames())
+
+
+def import_with_rejects(
+    spark: SparkSession, path: str, schema: T.StructType, staging: str, max_bad_rows: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of the declared table, and the rejected ones: file, reason and raw text.
+
+    Files are parsed once, into ``staging`` (a new folder of Parquet files).
+    """
+    raw = _raw(spark, path, schema).withColumn(_FILE, F.col("_metadata.file_path"))
+    _typed(raw, schema).write.mode("errorifexists").parquet(staging)
+    rows = spark.read.parquet(staging)
+    rejected = rows.filter(_BAD).select(
+        F.col(_FILE).alias("file"), F.col(_REASON).alias("reason"), F.col(_RAW).alias("raw")
+    )
+    found = rejected.count()
+    if found > max_bad_rows:
+        raise ValueError(f"{found} bad rows in {path}; they are in {staging}")
+    return rows.filter(~F.col(_BAD)).select(*schema.fieldNames()), rejected
+
+
+def _raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     raw_schema = T.StructType(
         [T.StructField(name, T.StringType()) for name in [*schema.fieldNames(), _BAD]]
     )
-    raw = (
+    return (
         spark.read.schema(raw_schema)
         .options(**_FORMAT, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
         .options(columnPruning=False, nullValue="", emptyValue="", encoding="UTF-8")
         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)
     )
-    texts = {f.name: _clean(F.col(f.name)) for f in schema}
-    cleaned = raw.select(*[t.alias(n) for n, t in texts.items()], F.col(_BAD))
-    typed = cleaned.select(
+
+
+def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Typed columns with a flag for bad rows, why they are bad, and their text."""
+    cleaned = raw.withColumns({f.name: _clean(F.col(f.name)) for f in schema})
+    unfit = F.array(*[F.when(_unfit(f), F.lit(f.name)) for f in schema])
+    reason = F.when(F.col(_BAD).isNotNull(), F.lit("number of fields")).otherwise(
+        F.concat_ws(", ", F.array_compact(unfit))
+    )
+    text = F.coalesce(F.col(_BAD), F.concat_ws("|", *[F.coalesce(f.name, F.lit("")) for f in schema]))
+    bad = reduce(or_, [_unfit(f) for f in schema], F.col(_BAD).isNotNull())
+    return cleaned.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema],
-        reduce(or_, [_unfit(f) for f in schema], F.col(_BAD).isNotNull()).alias(_BAD),
+        bad.alias(_BAD),
+        F.when(bad, reason).alias(_REASON),
+        F.when(bad, text).alias(_RAW),
+        *[c for c in cleaned.columns if c == _FILE],
     )
-    bad_rows = typed.agg(F.count_if(F.col(_BAD)).alias("n")).scalar()
-    message = F.concat(bad_rows.cast("string"), F.lit(f" bad rows in {path}"))
-    allowed = F.when(
-        bad_rows > max_bad_rows, F.raise_error(message).cast("boolean")
-    ).otherwise(True)
-    return typed.filter(allowed & ~F.col(_BAD)).drop(_BAD)
 
 
 def _clean(text: Column) -> Column:

@@ -15,7 +15,12 @@ from daymark.plans.account_dimension import account_type_edition_daily
 from daymark.plans.events import events_daily
 from daymark.schemas import KEYS, TABLES, _text, enforce_schema
 from daymark.sources import loads
-from daymark.sources.delimited import export_delimited, import_delimited
+from daymark.sources.delimited import (
+    MAX_BAD_ROWS,
+    export_delimited,
+    import_delimited,
+    import_with_rejects,
+)
 
 SCHEMA = (
     StructType()
@@ -93,13 +98,23 @@ def test_ten_bad_rows_are_skipped_and_eleven_fail(spark, tmp_path, bad, fails):
     body = b'"7"|"good"\n' + b"".join(kinds[i % 4] for i in range(bad))
     path = write(tmp_path, body)
     schema = StructType([*StructType.fromDDL("id int"), _text("text", 4)])
-    df = import_delimited(spark, path, schema)
+    df = import_delimited(spark, path, schema, MAX_BAD_ROWS)
+    staging = str(tmp_path / "staging")
     if fails:
         with pytest.raises(Exception, match="11 bad rows"):
             df.collect()
+        with pytest.raises(ValueError, match="11 bad rows"):
+            import_with_rejects(spark, path, schema, staging, MAX_BAD_ROWS)
     else:
         assert [tuple(r) for r in df.collect()] == [(7, "good")]
         assert df.count() == 1
+        good, rejected = import_with_rejects(spark, path, schema, staging, MAX_BAD_ROWS)
+        assert [tuple(r) for r in good.collect()] == [(7, "good")]
+        assert rejected.count() == bad
+        assert {r["reason"] for r in rejected.collect()} == {"id", "number of fields", "text"}
+        assert all(r["file"].endswith(".gz") and r["raw"] for r in rejected.collect())
+    with pytest.raises(Exception, match="bad rows"):
+        import_delimited(spark, path, schema).collect()
 
 
 def test_text_size_counts_bytes(spark):

@@ -8,7 +8,7 @@ from daymark.functions.predicates import etl_window
 from daymark.schemas import KEYS, TABLES, enforce_schema
 from daymark.sources import loads
 from daymark.sources.calendar import run_calendar
-from daymark.sources.delimited import export_delimited, import_delimited
+from daymark.sources.delimited import export_delimited, import_delimited, import_with_rejects
 from daymark.sources.tables import (
     scan_account_details,
     scan_external_events,
@@ -112,6 +112,18 @@ def _loaded(name: str, job, load, times: int = 1):
     return build
 
 
+def _through_clone(name: str, job):
+    """Clone the table without rows, fill the clone by position, load it, and read."""
+
+    def build(c: Context):
+        path, schema, table = c.new_path(), TABLES[name], job(c)
+        staging = loads.clone_staging(table).union(table)
+        loads.append_load(staging, path, schema, KEYS[name])
+        return loads.read_table(c.spark, path, schema)
+
+    return build
+
+
 for _name, (_block, _job) in JOBS.items():
     case(f"export_import_{_name}", f"SELECT * FROM {_block}")(_round_trip(_name, _job))
     case(f"append_load_{_name}", f"SELECT * FROM {_block}")(
@@ -120,9 +132,7 @@ for _name, (_block, _job) in JOBS.items():
     case(f"table_schema_{_name}", f"SELECT * FROM {_block}")(
         lambda c, job=_job, name=_name: enforce_schema(job(c), TABLES[name])
     )
-    case(f"clone_staging_{_name}", f"SELECT * FROM {_block} LIMIT 0")(
-        lambda c, job=_job: loads.clone_staging(job(c))
-    )
+    case(f"clone_staging_{_name}", f"SELECT * FROM {_block}")(_through_clone(_name, _job))
 
 case(
     "append_load_twice",
@@ -153,20 +163,38 @@ def _(c: Context):
     return import_delimited(c.spark, path, df.schema)
 
 
+@case(
+    "import_delimited_rejects",
+    """SELECT CASE WHEN doc_id % 7 <> 0 THEN CAST(doc_id AS BIGINT) END AS doc_id,
+        CASE WHEN doc_id % 7 = 0 THEN 'x' || doc_id || '|' || lang ELSE lang END AS row_text,
+        doc_id % 7 = 0 AS rejected
+    FROM documents""",
+)
+def _(c: Context):
+    """Ids that are no numbers in every seventh row; good and bad rows come back."""
+    docs, path = c.spark.read.parquet(f"{c.sf_dir}/documents.parquet"), c.new_path()
+    spoiled = F.col("doc_id") % 7 == 0
+    number = F.col("doc_id").cast("string")
+    name = F.when(spoiled, F.concat(F.lit("x"), number)).otherwise(number)
+    export_delimited(docs.select(name.alias("doc_id"), "lang"), path)
+    schema = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang").schema
+    good, bad = import_with_rejects(c.spark, path, schema, c.new_path(), max_bad_rows=1 << 62)
+    kept = good.select("doc_id", F.col("lang").alias("row_text"), F.lit(False).alias("rejected"))
+    return kept.union(bad.select(F.lit(None).cast("bigint"), "raw", F.lit(True)))
+
+
 @case(
     "export_delimited",
-    "SELECT count(*) AS row_count, count(DISTINCT account_id) AS account_count FROM raw_events",
+    """SELECT CAST(event_day AS VARCHAR) AS event_day, account_id, user_id, event_name,
+        user_data, region FROM raw_events""",
 )
 def _(c: Context):
-    path = c.new_path()
-    events = scan_raw_events(c.inputs.raw_events)
+    """All columns, read back as texts in the stated format."""
+    path, events = c.new_path(), scan_raw_events(c.inputs.raw_events)
     export_delimited(events, path)
-    ids = events.select("account_id").schema
-    files = c.spark.read.schema(events.schema).option("sep", "|").option("escape", "\\").csv(path)
-    accounts = files.groupBy(*ids.fieldNames()).agg(F.count(F.lit(1)).alias("n"))
-    return accounts.agg(
-        F.sum("n").alias("row_count"), F.count("account_id").alias("account_count")
-    )
+    texts = ", ".join(f"{name} string" for name in events.columns)
+    form = {"sep": "|", "quote": '"', "escape": "\\", "charToEscapeQuoteEscaping": "\\"}
+    return c.spark.read.schema(texts).options(**form, multiLine=True, nullValue="").csv(path)
 
 
 @case("clustered_write", "SELECT * FROM regional_table")
@@ -187,19 +215,15 @@ def _(c: Context):
     )
 
 
-@case(
-    "append_load",
-    """SELECT event_day, account_id, user_id, event_name, user_data, region FROM event_days
-    WHERE day BETWEEN DATE '2023-12-01' AND DATE '2024-01-30'
-    UNION ALL
-    SELECT event_day, account_id, user_id, event_name, user_data, region FROM event_days
-    WHERE day < DATE '2023-12-01'""",
-)
+@case("append_load", f"SELECT {EVENT_COLUMNS}, day AS computation_date FROM event_days")
 def _(c: Context):
-    """Positional bag union of a table and its staging rows."""
-    window = etl_window(F.to_date("event_day"), ETL_DATE)
-    events = scan_raw_events(c.inputs.raw_events)
-    return events.filter(window).union(events.filter(~window))
+    """A table and its staging rows, loaded one after the other; rows without a day stay."""
+    path, day = c.new_path(), F.to_date("event_day")
+    events = scan_raw_events(c.inputs.raw_events).withColumn(loads.DAY, day)
+    window = F.coalesce(etl_window(loads.DAY, ETL_DATE), F.lit(False))
+    for rows in (events.filter(~window), events.filter(window)):
+        loads.append_load(rows, path, events.schema, [loads.DAY, "account_id", "user_id"])
+    return loads.read_table(c.spark, path, events.schema)
 
 
 @case("table_schema", "SELECT * FROM dimension")
