@@ -6,9 +6,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from verification.compare import connect, difference
+from verification.queries import oracle_queries, spark_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = spark_queries(), oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def connection():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
