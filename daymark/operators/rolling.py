@@ -13,6 +13,7 @@ one, comes from one more row per key and day that is copied to the whole window.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -148,3 +149,32 @@ def _authors_from_logins(df: DataFrame) -> DataFrame:
             for p in ("l30", "l7")
         }
     ).drop("l30_login_users", "l7_login_users")
+
+
+def range_counts(
+    calendar: DataFrame,
+    rows: DataFrame,
+    member: str,
+    day: str,
+    width: int,
+    first: dt.date | Column,
+    last: dt.date | Column,
+    how: str = "left",
+) -> DataFrame:
+    """Rows and distinct members of the ``width`` days that end on each calendar day.
+
+    What a range join with the calendar would be aggregated to, without that join: rows
+    are counted by day first. With ``how='inner'`` days without rows are left out.
+    """
+    bounds = [F.lit(b).cast("date") if isinstance(b, dt.date) else b for b in (first, last)]
+    axis = calendar.filter(F.col("calendar_date").between(*bounds)).select("calendar_date")
+    by_day = rows.groupBy(day).agg(F.count(F.lit(1)).alias("n"), F.lit(width).alias("span"))
+    counts = spread(by_day, *bounds, day).groupBy("calendar_date").agg(
+        F.sum("n").alias("row_count")
+    )
+    members = rolling_members(rows, [], member, *bounds, {"member_count": width}, day)
+    found = counts.join(members, "calendar_date", "left")
+    return axis.join(found, "calendar_date", how).select(
+        "calendar_date",
+        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("row_count", "member_count")],
+    )

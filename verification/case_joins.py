@@ -14,6 +14,7 @@ from daymark.operators.aggregates import (
     provisioned_readers,
     reader_view_days,
 )
+from daymark.operators.rolling import range_counts
 from daymark.plans.account_dimension import live_accounts
 from daymark.plans.boards import reporting_day
 from daymark.plans.events import KEYS
@@ -95,10 +96,12 @@ def _login_days(c: Context):
 
 
 def _range_sql(width: int, how: str, days: str, condition: str, source: str = "event_days") -> str:
-    return f"""SELECT c.date AS calendar_date, e.account_id, e.user_id, e.day
+    return f"""SELECT c.date AS calendar_date, count(e.day) AS row_count,
+        count(DISTINCT e.user_id) AS member_count
     FROM (SELECT date FROM calendar WHERE {days}) c
     {how} JOIN (SELECT * FROM {source} WHERE {condition}) e
-      ON e.day BETWEEN c.date - {width - 1} AND c.date"""
+      ON e.day BETWEEN c.date - {width - 1} AND c.date
+    GROUP BY c.date"""
 
 
 _AXIS = f"date BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
@@ -111,12 +114,12 @@ def _axis(c: Context):
 
 @case("range_join_l30", _range_sql(30, "LEFT", _AXIS, _LOGIN))
 def _(c: Context):
-    return joins.range_join(_axis(c), _login_days(c), "day", 30, FIRST, LAST)
+    return range_counts(_axis(c), _login_days(c), "user_id", "day", 30, FIRST, LAST)
 
 
 @case("range_join_l7", _range_sql(7, "LEFT", _AXIS, _LOGIN))
 def _(c: Context):
-    return joins.range_join(_axis(c), _login_days(c), "day", 7, FIRST, LAST)
+    return range_counts(_axis(c), _login_days(c), "user_id", "day", 7, FIRST, LAST)
 
 
 @case(
@@ -130,8 +133,8 @@ def _(c: Context):
 )
 def _(c: Context):
     end = reporting_day(c.inputs.reporting_dates)
-    return joins.range_join(
-        _axis(c), _login_days(c), "day", 30, F.date_sub(end, 13), end, how="inner"
+    return range_counts(
+        _axis(c), _login_days(c), "user_id", "day", 30, F.date_sub(end, 13), end, how="inner"
     )
 
 
@@ -141,7 +144,7 @@ def _(c: Context):
     views = external.filter(is_reader_view(V)).select(
         "account_id", "user_id", day_of("event_day").alias("day")
     )
-    return joins.range_join(_axis(c), views, "day", 30, FIRST, LAST)
+    return range_counts(_axis(c), views, "user_id", "day", 30, FIRST, LAST)
 
 
 def _anti_sql(keys: str) -> str:
