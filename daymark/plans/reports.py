@@ -1,4 +1,4 @@
-"""Reports on the five daily tables."""
+"""Reports on the five daily tables. The names of their columns are fixed values."""
 
 from __future__ import annotations
 

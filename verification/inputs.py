@@ -21,6 +21,7 @@ REPORTING_DATE = dt.date(2024, 1, 29)
 PAYER = "19"
 VOCABULARY = Vocabulary(product_code="P", board_regions=("AFRICA", "ASIA", "EUROPE"))
 
+# Names of events, source types and metrics that the tables use.
 _SIGNUP = ["UserActivated", "UserInvite", "Unsubscribe", "PreparedDataSourceCreated"]
 _ERROR = [
     "AnalysisCreated",
