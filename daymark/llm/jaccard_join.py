@@ -27,7 +27,6 @@ the class only where the class has no other.
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
