@@ -104,45 +104,55 @@ def _contexts(rows: DataFrame) -> DataFrame:
 
     A place brings the words of all windows that its prefix leads.
     """
-    item = pa.struct([("prefix", pa.int64()), ("window", pa.int32()), ("n_windows", pa.int32()), ("words", pa.binary())])
-    schema = pa.schema(
-        [("t1", pa.int64()), ("t2", pa.int64()), ("n_words", pa.int64()), ("kept", pa.string()), ("text", pa.string()), ("contexts", pa.list_(item))]
-    )
+    names = ("t1", "t2", "n_words", "kept", "text", "contexts")
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        places: list[tuple[np.ndarray, ...]] = []
+        words: list[bytes] = []
+        size = 0
+
+        def made() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+            flat = [np.concatenate(x) if places else np.zeros(0, np.int64) for x in zip(*places, strict=True)] or [np.zeros(0, np.int64)] * 3
+            kinds = (pa.int64(), pa.int32(), pa.int32())
+            values = pa.StructArray.from_arrays(
+                [*[pa.array(x).cast(k) for x, k in zip(flat, kinds, strict=True)], pa.array(words, pa.binary())],
+                names=["prefix", "window", "n_windows", "words"],
+            )
+            offsets = np.cumsum([0, *[len(p[0]) for p in places]]).astype(np.int32)
+            return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), values)], names=names)
+
+        none = (np.zeros(0, np.int64),) * 3
         for batch in batches:
-            for r in range(batch.num_rows):
-                t1, t2, text, spots = (batch.column(c)[r] for c in range(4))
-                data = text.as_py().encode("utf-8", "surrogatepass")
-                row = {"t1": t1.as_py(), "t2": t2.as_py(), "kept": None, "text": None, "contexts": None}
+            for t1, t2, text, spots in zip(*[batch.column(c) for c in range(4)], strict=True):
+                text = text.as_py()
+                data = text.encode("utf-8", "surrogatepass")
                 if not spots.is_valid:
-                    words = data.split()
-                    row |= {"n_words": len(words), "kept": hashlib.sha256(b" ".join(words)).hexdigest()}
+                    found = data.split()
+                    rows.append((t1.as_py(), t2.as_py(), len(found), hashlib.sha256(b" ".join(found)).hexdigest(), None))
+                    places.append(none)
                 else:
                     numbers, begins = word_numbers([data])
                     grams, lead, first, last = leaders(numbers, begins)
-                    open_ = np.isin(lead, spots.values.to_numpy())
-                    short = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
-                    row |= {"n_words": len(numbers), "text": text.as_py()}
-                    row["contexts"] = [
-                        {"prefix": int(p), "window": int(a), "n_windows": int(b - a + 1), "words": short[a : b + WINDOW].tobytes()}
-                        for p, a, b in zip(grams[lead[open_]].view(np.int64), first[open_], last[open_], strict=True)
-                    ]
-                yield pa.RecordBatch.from_pylist([row], schema=schema)
-
-    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for one in run(batches):
-            held.append(one)
-            size += one.nbytes
-            if len(held) == 256 or size > 8 << 20:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, size = [], 0
-        if held:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-    return rows.select("t1", "t2", "text", "spots").mapInArrow(together, TEXT_DDL)
+                    keep = np.isin(lead, spots.values.to_numpy())
+                    lead, first, last = lead[keep], first[keep], last[keep]
+                    short = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
+                    words += [short[a * WORD_BYTES : (b + WINDOW) * WORD_BYTES] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+                    rows.append((t1.as_py(), t2.as_py(), len(numbers), None, text))
+                    places.append((grams[lead].view(np.int64), first, last - first + 1))
+                    size += len(data) + len(first) * 300
+                if len(rows) == 1000 or size > 8 << 20:
+                    yield made()
+                    rows.clear()
+                    places.clear()
+                    words.clear()
+                    size = 0
+        if rows:
+            yield made()
+
+    return rows.select("t1", "t2", "text", "spots").mapInArrow(run, TEXT_DDL)
 
 
 def repeated_suffixes(suffixes: np.ndarray) -> np.ndarray:
@@ -209,20 +219,23 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _full_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """w1, w2 (the whole window as prefix), t1, t2 and first of each window of large groups."""
     for batch in batches:
-        w1, w2, row, first = [], [], [], []
-        for i, (words, n, window) in enumerate(zip(*[batch.column(c) for c in ("words", "n_windows", "window")], strict=True)):
-            raw = np.zeros((len(words.as_buffer()) // WORD_BYTES, 8), np.uint8)
-            raw[:, :WORD_BYTES] = np.frombuffer(words.as_buffer(), np.uint8).reshape(-1, WORD_BYTES)
-            numbers = raw.view("<u8").reshape(-1)
-            w1.append(gram_numbers(numbers, WINDOW))
-            w2.append(gram_numbers(numbers * np.uint64(0x9FB21C651E98DF25) + np.uint64(1), WINDOW))
-            row.append(np.full(n.as_py(), i))
-            first.append(np.arange(n.as_py(), dtype=np.int32) + window.as_py())
-        if not row:
+        if not batch.num_rows:
             continue
-        at = np.concatenate(row)
+        data = np.frombuffer(b"".join(batch.column("words").to_pylist()), np.uint8).reshape(-1, WORD_BYTES)
+        raw = np.zeros((len(data), 8), np.uint8)
+        raw[:, :WORD_BYTES] = data
+        numbers = raw.view("<u8").reshape(-1)
+        windows = batch.column("n_windows").to_numpy()
+        # Places lie end to end; the windows of each are the first of its stretch of words.
+        size = windows + WINDOW - 1
+        at = np.repeat(np.arange(len(windows)), windows)
+        step = np.arange(len(at)) - np.repeat(np.cumsum(windows) - windows, windows)
+        spot = (np.cumsum(size) - size)[at] + step
+        w1 = gram_numbers(numbers, WINDOW)[spot]
+        w2 = gram_numbers(numbers * np.uint64(0x9FB21C651E98DF25) + np.uint64(1), WINDOW)[spot]
         t1, t2 = batch.column("t1").to_numpy()[at], batch.column("t2").to_numpy()[at]
-        made = [np.concatenate(w1).view(np.int64), np.concatenate(w2).view(np.int64), t1, t2, np.concatenate(first)]
+        first = (batch.column("window").to_numpy()[at] + step).astype(np.int32)
+        made = [w1.view(np.int64), w2.view(np.int64), t1, t2, first]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["w1", "w2", "t1", "t2", "first"])
 
 
