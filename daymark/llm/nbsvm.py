@@ -202,7 +202,8 @@ def quality(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROW
     known = known.agg(F.min("quality").alias("low"), F.max("quality").alias("high")).where("low = high")
     known = known.select(F.col("doc_id").alias("labelled_id"), F.col("low").cast("int").alias("quality"))
     rows = docs.select("doc_id", "text").where(_fold() != 2)
-    labelled = rows.join(known, F.col("doc_id") == F.col("labelled_id")).select("text", "quality")
+    # Always by a shuffle, so that small and large tables are handled alike.
+    labelled = rows.join(known.hint("merge"), F.col("doc_id") == F.col("labelled_id")).select("text", "quality")
     model = train(stored(labelled, "labelled"), sample_rows=sample_rows)
     all_rows = docs.select("doc_id", "text", F.coalesce(_fold() == 2, F.lit(False)).alias("held_out"))
     return predict(all_rows, model).drop("text")
