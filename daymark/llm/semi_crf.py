@@ -8,7 +8,8 @@ Candidate segments of bounded length are proposed by generous patterns, in all v
 their borders. A segment's score is a weighted sum of features of the whole span and its
 neighbourhood. Semi-Markov dynamic programming over the candidates, with a transition
 weight between the types of neighbouring segments, chooses borders and types together.
-Text without a candidate takes no part in the sum, so the work follows the candidates.
+Text without a candidate takes no part in the sum, so the work follows the candidates; a
+text without a digit, an at sign, '(at)' or '[at]' can have none and is not searched.
 
 Weights are learned by gradient steps on the conditional likelihood, on a bounded sample of
 texts that contain candidates. Their segmentation is the base patterns' own; a candidate
@@ -41,7 +42,9 @@ SAMPLE_ROWS = 2000
 LONGEST = 80
 STEPS = 150
 
-TRIGGER = re.compile(r"[0-9@]")
+#: Texts without any of these have no candidates; the same pattern is read by Java.
+TRIGGER_PATTERN = r"[0-9@]|\(at\)|\[at\]"
+TRIGGER = re.compile(TRIGGER_PATTERN)
 AT_LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 # A match never begins inside a run of digits: one that did would begin at its start.
@@ -348,11 +351,12 @@ def listed(segments: list[Segment]) -> str:
 
 
 def train(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
-    """Weights from ``sample_rows`` texts with a digit or an at sign, picked by a hash.
+    """Weights from ``sample_rows`` texts with a digit or an at sign, also a spelled-out one,
+    picked by a hash.
 
     Of each text only the surroundings of its candidates reach the driver.
     """
-    rows = docs.select("text").where(F.col("text").rlike("[0-9@]"))
+    rows = docs.select("text").where(F.col("text").rlike(TRIGGER_PATTERN))
     n = rows.count()
     share = min(1.0, sample_rows / n) if n else 1.0
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))

@@ -120,6 +120,15 @@ def test_field_adds_what_patterns_miss_and_keeps_theirs():
     assert semi_crf.spans("nothing here, version 1.2.3 of 2023-01-01", weights) == ([], [])
 
 
+def test_spelled_out_signs_are_found_in_text_without_digits(spark):
+    weights = semi_crf.learn([])
+    for text in ("write to john (at) mail (dot) com please", "write to john [at] mail [dot] com please"):
+        assert semi_crf.listed(semi_crf.spans(text, weights)[1]) == "email:9:33"
+        assert semi_crf.learn([text]) is not None and len(semi_crf.candidates(text, [])) > 0
+    rows = frame(spark, [(1, "write to john (at) mail (dot) com please")], pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+    assert semi_crf.personal_data(rows).first()["spans"] == "email:9:33"
+
+
 def test_best_path_and_sums_agree_with_all_segmentations():
     rng = np.random.default_rng(2)
     weights = rng.normal(0, 1, len(semi_crf.NAMES))
