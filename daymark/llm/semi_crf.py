@@ -4,10 +4,13 @@ The base patterns find emails, IPv4 addresses, card numbers and phone numbers; t
 always stay. The field adds spans that the patterns miss: two card numbers that stand next
 to each other, addresses with spelled-out signs, phone numbers without a plus sign.
 
-Candidate segments of bounded length are proposed by generous patterns, in all variants of
-their borders. A segment's score is a weighted sum of features of the whole span and its
+Candidate segments of bounded length are proposed generously and may overlap: for cards and
+phones all segments of whole neighbouring digit groups with a right number of digits (phones
+also with a plus, a double zero or a usual shape), emails with each number of domain parts,
+and what the base patterns find. A segment's score is a weighted sum of features of the whole span and its
 neighbourhood. Semi-Markov dynamic programming over the candidates, with a transition
-weight between the types of neighbouring segments, chooses borders and types together.
+weight between the types of neighbouring segments, chooses borders and types together, but
+never what contradicts a base span.
 Text without a candidate takes no part in the sum, so the work follows the candidates; a
 text without a digit, an at sign, '(at)' or '[at]' can have none and is not searched.
 
@@ -52,12 +55,21 @@ IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
-# Generous patterns; all quantifiers are bounded or possessive.
+# Generous patterns; all quantifiers are bounded or possessive. Matches may overlap.
 WIDE_EMAIL = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,40} ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,30}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,20}){1,3}"
+    r"(?<![A-Za-z0-9._%+-])(?=([A-Za-z0-9._%+-]{1,40} ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,30}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,20}){1,3}))"
 )
-WIDE_CARD = re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ .-][0-9]{4}){3})(?![0-9])")
-WIDE_PHONE = re.compile(r"(?<![0-9+])(?:00[0-9 -]{8,16}[0-9]|\([0-9]{2,4}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])")
+AT_SIGN = re.compile(r"@|\(at\)|\[at\]")
+DOMAIN_PART = re.compile(r" ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,20}")
+DOMAIN_GOES_ON = re.compile(r"\.[A-Za-z0-9-]| ?(?:\(dot\)|\[dot\])")
+GROUP = re.compile(r"[0-9]++")
+CARD_GAP = re.compile(r"[ .-]")
+PHONE_GAP = re.compile(r"[ ().-]{1,3}")
+CARD_DIGITS = range(13, 20)
+PHONE_DIGITS = range(9, 16)
+#: How the digits of cards are grouped, where they are not in one group.
+CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 5), (4, 3, 3, 3), (6, 13)}
+PHONE_SHAPE = re.compile(r"\([0-9]{2,4}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}")
 DIGITS = re.compile(r"[0-9]")
 
 
@@ -109,21 +121,44 @@ def base_spans(text: str) -> list[Segment]:
     return out
 
 
+def _number_segments(text: str) -> Iterator[Segment]:
+    """Cards and phones: all segments of whole neighbouring groups of digits that have the
+    right number of digits; phones also need a plus, a double zero, or a usual shape."""
+    groups = [m.span() for m in GROUP.finditer(text)]
+    for i, (a, _) in enumerate(groups):
+        lead = text[a - 1] if a else " "
+        bracket = lead == "("
+        plus = lead == "+"
+        start = a - 1 if bracket or plus else a
+        shaped = PHONE_SHAPE.match(text, start)
+        dialled = plus or text.startswith("00", a)
+        digits, card, phone = 0, True, dialled or shaped is not None
+        for k in range(i, len(groups)):
+            if k > i:
+                gap = groups[k - 1][1], groups[k][0]
+                card = card and CARD_GAP.fullmatch(text, *gap) is not None
+                phone = phone and PHONE_GAP.fullmatch(text, *gap) is not None
+            b = groups[k][1]
+            digits += b - groups[k][0]
+            if not (card or phone) or digits > CARD_DIGITS[-1] or b - start > LONGEST:
+                break
+            if card and digits in CARD_DIGITS:
+                yield Segment(a, b, "card")
+            if phone and digits in PHONE_DIGITS and (dialled or b == shaped.end()):
+                yield Segment(start, b, "phone")
+
+
 def candidates(text: str, base: list[Segment]) -> list[Segment]:
     """Base spans and what the generous patterns propose, by end, then start."""
     found = set(base)
     if not TRIGGER.search(text):
         return []
-    for kind, pattern in (("email", WIDE_EMAIL), ("card", WIDE_CARD), ("phone", WIDE_PHONE)):
-        for m in pattern.finditer(text):
-            a, b = m.span()
-            if b - a > LONGEST:
-                continue
-            found.add(Segment(a, b, kind))
-            if kind == "email" and "." in m.group():  # also without its last part
-                cut = a + m.group().rindex(".")
-                if "." in text[a:cut].partition("@")[2]:
-                    found.add(Segment(a, cut, kind))
+    for m in WIDE_EMAIL.finditer(text):
+        a, b = m.span(1)
+        sign = AT_SIGN.search(text, a, b)
+        ends = [part.end() for part in DOMAIN_PART.finditer(text, sign.end(), b)]
+        found.update(Segment(a, end, "email") for end in ends if end - a <= LONGEST)
+    found.update(_number_segments(text))
     for m in IP.finditer(text):
         if m.end() - m.start() <= LONGEST:
             found.add(Segment(*m.span(), "ip"))
@@ -140,11 +175,15 @@ PRIOR = {
     "card:word before": -3.0,
     "card:word after": -3.0,
     "card:decimal": -3.0,
+    "card:usual groups": 0.5,
+    "card:odd groups": -6.0,
+    "card:no issuer": -1.0,
     "email:at sign": 2.0,
     "email:spelled sign": 2.5,
     "email:domain ends in letters": 2.0,
     "email:domain ends in digits": -3.0,
     "email:space inside": -2.0,
+    "email:domain goes on": -1.0,
     "ip:parts fit": 4.0,
     "ip:part too large": -8.0,
     "ip:longer chain": -4.0,
@@ -178,12 +217,19 @@ def span_features(text: str, s: Segment) -> list[int]:
             names.append("card:one digit only")
         if "." in (before, after) and DIGITS.match(text[s.end + 1 : s.end + 2] or " "):
             names.append("card:decimal")
+        sizes = tuple(map(len, GROUP.findall(span)))
+        if len(sizes) > 1:
+            names.append("card:usual groups" if sizes in CARD_GROUPS else "card:odd groups")
+        if not ("3" <= digits[0] <= "6" or "2221" <= digits[:4] <= "2720"):
+            names.append("card:no issuer")
     elif s.kind == "email":
         names.append("email:at sign" if "@" in span else "email:spelled sign")
         last = re.split(r"[.)\]]", span)[-1].strip()
         names.append("email:domain ends in letters" if last.isalpha() and len(last) > 1 else "email:domain ends in digits")
         if " " in span:
             names.append("email:space inside")
+        if DOMAIN_GOES_ON.match(text, s.end):
+            names.append("email:domain goes on")
     elif s.kind == "ip":
         parts = span.split(".")
         names.append("ip:parts fit" if all(len(p) <= 3 and int(p) <= 255 for p in parts) else "ip:part too large")
@@ -231,64 +277,64 @@ def _previous(group: list[Segment]) -> list[range]:
     return [range(bisect_right(ends, s.start)) for s in group]
 
 
-#: Earlier segments that a transition can reach back to.
-REACH = 8
+#: Numbers of the transition weights from a kind (row) to a kind (column).
+LINKS = np.array([[_link(Segment(0, 0, a), Segment(0, 0, b)) for b in KINDS] for a in KINDS])
 
 
 def best_path(group: list[Segment], scores: np.ndarray, weights: np.ndarray) -> list[Segment]:
     """The segmentation of the highest score; segments outside of it are plain text."""
-    best = np.zeros(len(group))
-    back = [-1] * len(group)
-    # The best path that ends with any of the first i segments, and its last one.
-    prefix, holder = [0.0], [-1]
+    link = weights[LINKS].tolist()
+    best: list[float] = []
+    back: list[int] = []
+    # For each kind: the best path that ends in it within the first i segments, and its last one.
+    prefix: list[list[tuple[float, int]]] = [[(-np.inf, -1)] for _ in KINDS]
     for i, (s, earlier) in enumerate(zip(group, _previous(group), strict=True)):
-        # Without a transition (far back) the best prefix, else the near ones one by one.
-        top, arg = prefix[max(0, len(earlier) - REACH)], holder[max(0, len(earlier) - REACH)]
-        for j in earlier[-REACH:]:
-            value = best[j] + weights[_link(group[j], s)]
-            if value > top:
-                top, arg = value, j
-        best[i], back[i] = scores[i] + top, arg
-        if best[i] > prefix[-1]:
-            prefix.append(best[i])
-            holder.append(i)
-        else:
-            prefix.append(prefix[-1])
-            holder.append(holder[-1])
-    path, i = [], holder[-1]
+        kind = KINDS.index(s.kind)
+        top, arg = 0.0, -1
+        for k, reached in enumerate(prefix):
+            value, j = reached[len(earlier)]
+            if value + link[k][kind] > top:
+                top, arg = value + link[k][kind], j
+        best.append(float(scores[i]) + top)
+        back.append(arg)
+        for k, reached in enumerate(prefix):
+            reached.append((best[i], i) if k == kind and best[i] > reached[-1][0] else reached[-1])
+    top, i = max((r[-1] for r in prefix), key=lambda r: r[0])
+    i = i if top > 0 else -1
+    path = []
     while i >= 0:
         path.append(group[i])
         i = back[i]
     return path[::-1]
 
 
-def log_sum(group: list[Segment], scores: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, dict[tuple[int, int], float]]:
-    """Log of the sum over all segmentations, and probabilities of segments and links."""
-    n = len(group)
-    earlier = _previous(group)
-    near = [list(e[-REACH:]) for e in earlier]
-    far = [max(0, len(e) - REACH) for e in earlier]
-    ahead, total = np.zeros(n), [0.0]
-    for i, s in enumerate(group):
-        ways = [total[far[i]]] + [ahead[j] + weights[_link(group[j], s)] for j in near[i]]
-        ahead[i] = scores[i] + np.logaddexp.reduce(ways)
-        total.append(np.logaddexp(total[-1], ahead[i]))
-    z = total[-1]
-    # Backward: probability mass flows from the ends to the starts of all paths.
-    into, rest = np.zeros(n), np.zeros(n + 1)
-    links: dict[tuple[int, int], float] = {}
-    rest[n] = 1.0
+def log_sum(group: list[Segment], scores: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log of the sum over all segmentations, the segments' probabilities, and how many links
+    from a kind (row) to a kind (column) are expected."""
+    n, link = len(group), weights[LINKS]
+    kinds = [KINDS.index(s.kind) for s in group]
+    earlier = [len(e) for e in _previous(group)]
+    ahead = np.zeros(n)
+    # Sums of all paths that end in a segment of each kind within the first i segments.
+    total = np.full((n + 1, len(KINDS)), -np.inf)
+    for i, kind in enumerate(kinds):
+        ahead[i] = scores[i] + np.logaddexp.reduce(total[earlier[i]] + link[:, kind], initial=0.0)
+        total[i + 1] = total[i]
+        total[i + 1, kind] = np.logaddexp(total[i, kind], ahead[i])
+    z = np.logaddexp.reduce(total[n], initial=0.0)
+    # Backward: sums of all that may follow a segment, by the kind of what comes next.
+    after, follow = np.zeros(n), np.full(len(KINDS), -np.inf)
+    waiting: list[list[int]] = [[] for _ in range(n + 1)]
+    for j, e in enumerate(earlier):
+        waiting[e].append(j)
     for i in range(n - 1, -1, -1):
-        share = rest[i + 1] * np.exp(ahead[i] - total[i + 1])
-        rest[i] += rest[i + 1] - share
-        into[i] += share
-        incoming = ahead[i] - scores[i]
-        rest[far[i]] += into[i] * np.exp(total[far[i]] - incoming)
-        for j in near[i]:
-            flow = into[i] * np.exp(ahead[j] + weights[_link(group[j], group[i])] - incoming)
-            links[j, i] = flow
-            into[j] += flow
-    return z, into, links
+        for j in waiting[i + 1]:
+            follow[kinds[j]] = np.logaddexp(follow[kinds[j]], scores[j] + after[j])
+        after[i] = np.logaddexp.reduce(follow + link[kinds[i]], initial=0.0)
+    links = np.zeros((len(KINDS), len(KINDS)))
+    for i, kind in enumerate(kinds):
+        links[:, kind] += np.exp(total[earlier[i]] + link[:, kind] + scores[i] + after[i] - z)
+    return z, np.exp(ahead + after - z), links
 
 
 def learn(texts: list[str], *, steps: int = STEPS, rate: float = 0.1, spread: float = 2.0) -> np.ndarray:
@@ -319,8 +365,7 @@ def learn(texts: list[str], *, steps: int = STEPS, rate: float = 0.1, spread: fl
                 _, into, links = log_sum(group, given, weights)
                 for f, p in zip(found, into, strict=True):
                     np.add.at(gradient, f, sign * p / total)
-                for (j, i), p in links.items():
-                    gradient[_link(group[j], group[i])] += sign * p / total
+                np.add.at(gradient, LINKS, sign * links / total)
         speed = 0.9 * speed + rate * gradient
         weights = weights + speed
     return weights
@@ -331,10 +376,6 @@ def spans(text: str | None, weights: np.ndarray) -> tuple[list[Segment], list[Se
     if not text or not TRIGGER.search(text):
         return [], []
     base = base_spans(text)
-    added: set[Segment] = set()
-    for group in _islands(candidates(text, base)):
-        scores = np.array([weights[span_features(text, s)].sum() for s in group])
-        added.update(best_path(group, scores, weights))
     taken = sorted((s.start, s.end) for s in base)
     reach = np.maximum.accumulate([e for _, e in taken]) if taken else []
 
@@ -342,6 +383,11 @@ def spans(text: str | None, weights: np.ndarray) -> tuple[list[Segment], list[Se
         i = bisect_left(taken, (s.end,))
         return i == 0 or reach[i - 1] <= s.start
 
+    # What contradicts a base span takes no part, so it can't stand in the way of others.
+    known, added = set(base), set()
+    for group in _islands([s for s in candidates(text, base) if s in known or free(s)]):
+        scores = np.array([weights[span_features(text, s)].sum() for s in group])
+        added.update(best_path(group, scores, weights))
     order = {k: i for i, k in enumerate(KINDS)}
     return base, sorted({*base, *filter(free, added)}, key=lambda s: (order[s.kind], s.start, s.end))
 

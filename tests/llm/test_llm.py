@@ -120,6 +120,24 @@ def test_field_adds_what_patterns_miss_and_keeps_theirs():
     assert semi_crf.spans("nothing here, version 1.2.3 of 2023-01-01", weights) == ([], [])
 
 
+def test_field_chooses_borders_among_neighbouring_numbers():
+    weights = semi_crf.learn(["call +1 (743) 555-3824 now", "at 10.1.2.3 and me@here.example.com", "card 4111 1111 1111 1111 ok"])
+    for text, expected in (
+        ("Paid 2024 4111 1111 1111 1111 ok", "card:10:29"),
+        ("3782 822463 10005 3714 496353 98431", "card:0:17,card:18:35"),
+        ("+1 743 555 3824 4111 1111 1111 1111", "card:16:35,phone:0:15"),
+        ("00 49 30 1234567 2024 4111 1111 1111 1111 x", "card:22:41,phone:0:16"),
+        ("john (at) mail (dot) co (dot) uk now", "email:0:32"),
+    ):
+        assert semi_crf.listed(semi_crf.spans(text, weights)[1]) == expected, text
+    many = " ".join("2024 4111 1111 1111 1111" for _ in range(200))
+    assert sum(s.kind == "card" for s in semi_crf.spans(many, weights)[1]) == 200
+    digits = " ".join(str(i % 10) for i in range(20))
+    assert {(s.start, s.end) for s in semi_crf.candidates(digits, []) if s.kind == "card"} == {
+        (2 * i, 2 * (i + n) - 1) for i in range(20) for n in range(13, 20) if i + n <= 20
+    }
+
+
 def test_spelled_out_signs_are_found_in_text_without_digits(spark):
     weights = semi_crf.learn([])
     for text in ("write to john (at) mail (dot) com please", "write to john [at] mail [dot] com please"):
