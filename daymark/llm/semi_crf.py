@@ -15,7 +15,8 @@ Text without a candidate takes no part in the sum, so the work follows the candi
 text without a digit, an at sign, '(at)' or '[at]' can have none and is not searched.
 
 Weights are learned by gradient steps on the conditional likelihood, on a bounded sample of
-texts that contain candidates. Their segmentation is the base patterns' own; a candidate
+groups of candidates: at most 20 of each of about 2000 texts, at most 2000 distinct ones of
+all, both picked by a hash of the group's own surroundings (``train`` has all bounds). Their segmentation is the base patterns' own; a candidate
 that only the generous patterns know is unlabelled, so both its readings count. A Gaussian
 prior around fixed starting weights keeps features that the sample does not show.
 
@@ -42,6 +43,10 @@ from daymark.llm.common import with_computed
 KINDS = ("email", "ip", "card", "phone")
 #: Texts that the weights are learned on.
 SAMPLE_ROWS = 2000
+#: Groups of candidates that one text gives to learning, and candidates in a group and in all.
+SAMPLE_GROUPS = 20
+GROUP_CANDIDATES = 200
+SAMPLE_CANDIDATES = 20_000
 LONGEST = 80
 STEPS = 150
 
@@ -396,11 +401,29 @@ def listed(segments: list[Segment]) -> str:
     return ",".join(f"{s.kind}:{s.start}:{s.end}" for s in segments)
 
 
+def by_hash(part: str) -> tuple[bytes, str]:
+    return hashlib.blake2b(part.encode("utf-8", "surrogatepass"), digest_size=8).digest(), part
+
+
+def chosen(parts: set[str], most: int) -> list[str]:
+    """At most ``most`` parts in the order of their hash, and as many as the candidates allow."""
+    out, room = [], SAMPLE_CANDIDATES
+    for part in sorted(parts, key=by_hash)[:most]:
+        room -= len(candidates(part, base_spans(part)))
+        if room < 0:
+            break
+        out.append(part)
+    return out
+
+
 def train(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
     """Weights from ``sample_rows`` texts with a digit or an at sign, also a spelled-out one,
     picked by a hash.
 
-    Of each text only the surroundings of its candidates reach the driver.
+    Of each text only the surroundings of its groups of candidates reach the driver: the
+    ``SAMPLE_GROUPS`` of the smallest hash, wherever they stand, without groups of more than
+    ``GROUP_CANDIDATES``. Of all distinct ones, the ``sample_rows`` of the smallest hash are
+    learned from, or fewer where they hold more than ``SAMPLE_CANDIDATES`` candidates.
     """
     rows = docs.select("text").where(F.col("text").rlike(TRIGGER_PATTERN))
     n = rows.count()
@@ -410,13 +433,13 @@ def train(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
     def cut(texts: list[str | None]) -> list[list]:
         out = []
         for text in texts:
-            base = base_spans(text)
-            groups = list(_islands(candidates(text, base)))[:20]
-            out.append([text[max(0, min(s.start for s in g) - 45) : max(s.end for s in g) + 45] for g in groups])
+            groups = [g for g in _islands(candidates(text, base_spans(text))) if len(g) <= GROUP_CANDIDATES]
+            parts = {text[max(0, min(s.start for s in g) - 45) : max(s.end for s in g) + 45] for g in groups}
+            out.append(sorted(parts, key=by_hash)[:SAMPLE_GROUPS])
         return [out]
 
     sample = with_computed(rows.where(place < share), "text", "parts array<string>", cut).toPandas()
-    return learn(sorted({p for parts in sample["parts"] for p in parts})[:sample_rows])
+    return learn(chosen({p for parts in sample["parts"] for p in parts}, sample_rows))
 
 
 def personal_data(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -172,6 +172,20 @@ def test_best_path_and_sums_agree_with_all_segmentations():
             assert into[i] == pytest.approx(sum(np.exp(value(p) - z) for p in paths if s in p))
 
 
+def test_field_learns_from_the_whole_of_a_text(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(semi_crf, "learn", lambda texts: seen.extend(texts))
+    words = " word" * 30
+    text = "".join(f"{chr(97 + i % 26)}{words} me{i}@here.example.com{words}\n" for i in range(200))
+    rows = frame(spark, [(1, text)], pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+    semi_crf.train(rows)
+    places = [int(re.search(r"me(\d+)@", p).group(1)) for p in seen]
+    assert len(places) == semi_crf.SAMPLE_GROUPS and max(places) > 100 and min(places) < 100
+    parts = {f"{chr(97 + i % 26)} me{i}@here.example.com" for i in range(260)}
+    found = semi_crf.chosen(parts, 100)
+    assert len(found) == 100 and len({p[0] for p in found}) > 15
+
+
 def test_personal_data_of_awkward_rows(spark):
     rows = semi_crf.personal_data(awkward(spark)).collect()
     assert len(rows) == 16
