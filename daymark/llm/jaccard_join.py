@@ -301,14 +301,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``n_links`` counts the other rows whose similarity reaches the threshold, and
     ``n_copies`` those among them with the same set of shingles.
     """
+    return _classed(docs).drop("text_hash", "class_hash")
+
+
+def _classed(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with the hash of each row's text, and of the text of the row that
+    names its class: of those with the smallest doc_id the one with the smallest hash."""
     signed = stored(_signed(docs), "signed")
     one = signed.where("n_shingles > 0").groupBy("set_key").agg(
         F.count("*").alias("copies"),
-        F.min("doc_id").alias("first_id"),
+        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("first_row"),
         F.min(F.struct("text_hash", "n_shingles", "bands")).alias("own"),
     )
     sets = stored(
-        one.select(F.monotonically_increasing_id().alias("set_id"), "set_key", "copies", "first_id", "own.*"), "sets"
+        one.select(F.monotonically_increasing_id().alias("set_id"), "set_key", "copies", "first_row", "own.*"), "sets"
     )
     # Buckets with more than one set, and in each set the largest of them.
     members = sets.select("set_id", F.explode("bands").alias("bucket"))
@@ -341,26 +347,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = stored(found.mapInArrow(_compare, "set_id long, links long, root long"), "links")
     links = found.groupBy("set_id").agg(F.sum("links").alias("links"))
     rooted = components(found.where("set_id != root").select(F.col("set_id").alias("a"), F.col("root").alias("b")))
-    linked = sets.select("set_id", "set_key", "copies", "first_id").join(links, "set_id", "left")
+    linked = sets.select("set_id", "set_key", "copies", "first_row").join(links, "set_id", "left")
     linked = linked.join(rooted, linked.set_id == rooted.node, "left").withColumn("root", F.coalesce("root", "set_id"))
-    least = linked.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    by_set = linked.join(least, "root").select("set_key", "copies", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
-    rows = signed.select("doc_id", "set_key", "n_shingles").join(by_set, "set_key", "left")
+    least = linked.groupBy("root").agg(F.min("first_row").alias("first_row"))
+    by_set = linked.drop("first_row").join(least, "root").select("set_key", "copies", "first_row", F.coalesce("links", F.lit(0)).alias("links"))
+    rows = signed.select("doc_id", "text_hash", "set_key", "n_shingles").join(by_set, "set_key", "left")
     return rows.select(
         "doc_id",
-        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("first_row.doc_id", "doc_id").alias("class_id"),
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
         F.coalesce(F.col("copies") - 1, F.lit(0)).alias("n_copies"),
         F.col("n_shingles").cast("long").alias("n_shingles"),
+        "text_hash",
+        F.coalesce("first_row.text_hash", "text_hash").alias("class_hash"),
     )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without near duplicates: of each class, the row whose doc_id names it.
+    """``docs`` without near duplicates: of each class, the row that names it.
 
     Rows with the same doc_id and text are one; a row without doc_id stays.
     """
-    classes = near_duplicates(docs).where("doc_id IS NOT NULL AND doc_id != class_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(classes, docs["doc_id"] == F.col("__gone"), "left_anti")
-    again = kept.dropDuplicates(["doc_id", "text"]) if "text" in docs.columns else kept
-    return again
+    others = _classed(docs).where("doc_id IS NOT NULL AND (doc_id != class_id OR text_hash != class_hash)")
+    gone = others.select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__gone_hash")).distinct()
+    same = (docs["doc_id"] == F.col("__gone")) & (F.xxhash64(docs["text"]) == F.col("__gone_hash"))
+    return docs.join(gone, same, "left_anti").dropDuplicates(["doc_id", "text"])

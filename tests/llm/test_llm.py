@@ -503,6 +503,13 @@ def test_pruning_drops_only_improbable_pairs():
     assert set(zip(i.tolist(), j.tolist())) == expected
 
 
+def test_rows_of_one_doc_id_stay_or_go_by_themselves(spark):
+    words = [" ".join(f"{c}{i}" for i in range(100)) for c in "xyz"]
+    docs = [(1, words[0]), (5, words[0] + " end"), (5, words[1]), (6, words[1] + " end"), (5, words[2]), (5, words[2] + " end"), (None, words[2])]
+    kept = jaccard_join.one_of_each(frame(spark, docs, pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))).collect()
+    assert Counter((r["doc_id"], r["text"][0]) for r in kept) == Counter([(1, "x"), (5, "y"), (5, "z"), (None, "z")])
+
+
 def test_join_of_awkward_rows(spark):
     rows = jaccard_join.near_duplicates(awkward(spark)).collect()
     by_id = {r["doc_id"]: r for r in rows}
