@@ -263,12 +263,16 @@ RESULT = pa.schema(
 
 
 def render(roles: list[str], lines: list[str]) -> str:
-    """Turns in canonical form; a marker at the head of a line has done its work."""
+    """Turns in canonical form; a marker goes where its line opens a turn of the role that it
+    names, and stays as ordinary text elsewhere."""
     turns: list[tuple[str, list[str]]] = []
     for role, line in zip(roles, lines, strict=True):
         if not turns or turns[-1][0] != role:
             turns.append((role, []))
-        turns[-1][1].append(MARKER.sub("", line, count=1))
+            found = MARKER.match(line)
+            if found and NAMED[found.group(1).lower()] == role:
+                line = line[found.end() :]
+        turns[-1][1].append(line)
     return "\n".join(f"<|{role}|>\n" + "\n".join(body) + "\n<|end|>" for role, body in turns)
 
 

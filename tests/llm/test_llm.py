@@ -452,6 +452,12 @@ def test_markers():
     ]
 
 
+def test_only_markers_of_the_turn_are_stripped():
+    lines = ["User: hi", "Context: a book", "## Context", "Question: which?"]
+    assert transcripts.render(["user"] * 4, lines) == "<|user|>\nhi\nContext: a book\n## Context\nQuestion: which?\n<|end|>"
+    assert transcripts.render(["user", "assistant"], ["Context: x", "Bot: y"]) == "<|user|>\nContext: x\n<|end|>\n<|assistant|>\ny\n<|end|>"
+
+
 # 9
 
 
