@@ -76,7 +76,8 @@ class Encoder(dict):
 
     A piece is what stands between two spaces. It begins with a line end or else follows a
     space. The tokenizer's own rules never join anything over these borders, so the ids of
-    a text are those of its pieces, one after the other.
+    a text are those of its pieces, one after the other. A text with the name of an added
+    token in it is encoded in one piece.
     """
 
     _made: dict[str, Encoder] = {}
@@ -84,8 +85,8 @@ class Encoder(dict):
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        # Names of special tokens inside a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        # Names of added tokens inside a text are tokens of their own: whole texts only.
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
@@ -136,6 +137,8 @@ class Encoder(dict):
         """The ids of a text, one after the other."""
         if not text:
             return b""
+        if any(name in text for name in self.added):
+            return self.whole(text)
         pieces = ("\n" + text.replace("\n", " \n")).split(" ")
         try:
             ids = b"".join(map(self.__getitem__, pieces))[len(self.line_end) :]

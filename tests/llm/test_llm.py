@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from daymark.llm import (
@@ -541,6 +542,13 @@ def test_pieces_give_the_ids_of_whole_texts():
         assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == expected, repr(text)
 
 
+def test_names_of_added_tokens_are_those_tokens():
+    encoder = token_files.Encoder.of(token_files.tokenizer_path())
+    plain = Tokenizer.from_file(token_files.tokenizer_path())
+    for text in ("end <|endoftext|> next", "<|endoftext|>", "a<|endoftext|>b\n<|endoftext|><|endoftext|> c", "end <|endoftext | > next", "plain text"):
+        assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
 def test_blocks_come_back_whole_and_from_checkpoints():
     rng = np.random.default_rng(12)
     blocks = [np.minimum(rng.geometric(0.01, n), 4000) for n in (1, 127, 128, 129, 40_000, 70_001)]
