@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import with_computed
+from daymark.llm.common import distinct_texts, picked_texts, with_computed
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
@@ -117,36 +117,36 @@ def train(
 ) -> ByteCnn | None:
     """Fit on rows where ``usable`` holds and the label is set.
 
-    About ``sample_rows`` rows of each language are taken by a hash of the text, and
-    ``SAMPLE_WINDOWS`` windows spread over each of them; that is all the driver sees.
+    At most ``sample_rows`` distinct texts of each language are taken by a hash, each with the
+    weight of its copies, and ``SAMPLE_WINDOWS`` windows spread over each of them; that is all
+    the driver sees.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(label).cast("string").alias("lang")).where(
         usable & F.col(label).isNotNull() & F.col(text).isNotNull()
     )
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    texts = distinct_texts(rows, "lang")
+    counts = [r["lang"] for r in texts.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} distinct labels")
     if not counts:
         return None
-    share = F.lit(0.0)
-    for language, n in counts.items():
-        share = F.when(F.col("lang") == language, F.lit(min(1.0, sample_rows / n))).otherwise(share)
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = with_computed(rows.where(place < share), "text", "windows array<binary>", _sampled_windows)
-    data = sample.select("lang", "windows").toPandas()
+    sample = with_computed(picked_texts(rows, texts, sample_rows, "lang"), "text", "windows array<binary>", _sampled_windows)
+    data = sample.select("h", "lang", "copies", "windows").dropDuplicates(["h", "lang"]).toPandas()
     data = data.sort_values("windows", key=lambda s: s.map(tuple), kind="stable")
     languages = sorted(counts)
     number = {x: i for i, x in enumerate(languages)}
-    pairs = [(w, number[lang]) for lang, ws in zip(data["lang"], data["windows"], strict=True) for w in ws]
+    pairs = [(w, number[lang], n) for lang, ws, n in zip(data["lang"], data["windows"], data["copies"], strict=True) for w in ws]
     if not pairs:
         return None
-    x = np.frombuffer(b"".join(w for w, _ in pairs), np.uint8).reshape(-1, WINDOW)
-    y = np.array([c for _, c in pairs])
-    return fit(x, y, languages, steps=steps, seed=seed)
+    x = np.frombuffer(b"".join(w for w, _, _ in pairs), np.uint8).reshape(-1, WINDOW)
+    y = np.array([c for _, c, _ in pairs])
+    weight = np.array([n for _, _, n in pairs], np.float64)
+    return fit(x, y, languages, steps=steps, seed=seed, weight=weight)
 
 
-def fit(x: np.ndarray, y: np.ndarray, languages: list[str], *, steps: int, seed: int, batch: int = 64) -> ByteCnn:
-    """Adam on the cross entropy of windows, each language drawn equally often."""
+def fit(x: np.ndarray, y: np.ndarray, languages: list[str], *, steps: int, seed: int, batch: int = 64, weight: np.ndarray | None = None) -> ByteCnn:
+    """Adam on the cross entropy of windows, each language drawn equally often, and each of
+    its windows by its weight."""
     rng = np.random.default_rng(seed)
     n_filters, widest = FILTERS * len(WIDTHS), max(WIDTHS)
     mask = np.zeros((widest * EMBEDDING, n_filters), np.float32)
@@ -165,10 +165,12 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], *, steps: int, seed:
     first = {k: np.zeros_like(getattr(model, k)) for k in names}
     second = {k: np.zeros_like(getattr(model, k)) for k in names}
     of_class = [np.flatnonzero(y == c) for c in range(len(languages))]
+    weight = np.ones(len(y)) if weight is None else weight
+    reach = [np.cumsum(weight[w]) for w in of_class]
     present = [c for c in range(len(languages)) if len(of_class[c])]
     for step in range(1, steps + 1):
         classes = rng.choice(present, batch)
-        pick = np.array([rng.choice(of_class[c]) for c in classes])
+        pick = np.array([of_class[c][np.searchsorted(reach[c], rng.random() * reach[c][-1], side="right")] for c in classes])
         part = x[pick]
         # Some windows are cut short, so that short texts are learned too.
         cut = np.where(rng.random(batch) < 0.3, rng.integers(16, WINDOW, batch), WINDOW)

@@ -123,6 +123,38 @@ def gram_numbers(numbers: np.ndarray, n: int) -> np.ndarray:
     return mixed(total)
 
 
+def distinct_texts(rows: DataFrame, *labels: str) -> DataFrame:
+    """h (the text's hash), the labels and ``copies``, the number of rows that share them."""
+    return stored(rows.groupBy(F.xxhash64("text").alias("h"), *labels).agg(F.count("*").alias("copies")), "texts")
+
+
+def picked_texts(rows: DataFrame, texts: DataFrame, most: int, *labels: str) -> DataFrame:
+    """h, the labels, text and copies of at most ``most`` distinct texts of each label, picked
+    by a hash; ``texts`` are the ``distinct_texts`` of ``rows``. Each task gives a text once, so
+    what is computed from the rows still has to go through ``dropDuplicates`` by h and labels."""
+    names = list(labels)
+    totals = F.broadcast(texts.groupBy(*names).agg(F.count("*").alias("of")))
+    near = texts.join(totals, names) if names else texts.crossJoin(totals)
+    place = F.pmod(F.xxhash64("h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    near = near.withColumn("place", place).where(F.col("place") * F.col("of") < 2 * most + 100).toPandas()
+    near = near.sort_values(["place", "h"], kind="stable")
+    near = near.groupby(names).head(most) if names else near.head(most)
+    keys = texts.sparkSession.createDataFrame(pa.Table.from_pandas(near[["h", *names, "copies"]], to_arrow_schema(texts.schema), preserve_index=False), texts.schema)
+    found = rows.select(F.xxhash64("text").alias("h"), *names, "text").join(F.broadcast(keys), ["h", *names])
+    schema = found.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            fresh = []
+            for key in zip(*[batch.column(i).to_pylist() for i in range(1 + len(names))], strict=True):
+                fresh.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(fresh, pa.bool_()))
+
+    return found.mapInArrow(run, schema)
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns whose names, in any case, are among ``names``."""
     taken = {n.lower() for n in names}

@@ -6,8 +6,8 @@ large a part of a text's word triples occurs in it before. They share a table of
 places by a hash. Each indicator is scaled by the logarithm of the ratio of its smoothed
 shares in the two classes, which are counted over all labelled rows of the learning folds.
 On these scaled and normalised vectors a linear hinge-loss model is fitted by dual
-coordinate descent, on a bounded sample of about 4,000 rows of each class; a fifth of it is
-set aside to turn margins into probabilities.
+coordinate descent, on a sample of at most 4,000 distinct texts of each class, each with the
+weight of its copies; a fifth of it is set aside to turn margins into probabilities.
 
 Rows: null and empty texts have no features and get the score of the bare intercept. Equal
 texts get equal scores. Rows without a label are scored, not learned from; nor are rows
@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import chunks, gram_numbers, mixed, stored, with_computed, word_numbers
+from daymark.llm.common import chunks, distinct_texts, gram_numbers, mixed, picked_texts, stored, with_computed, word_numbers
 
 PLACES = 1 << 18
-#: Rows per class, in expectation, that the hinge-loss model is fitted on.
+#: Distinct texts per class, at most, that the hinge-loss model is fitted on.
 SAMPLE_ROWS = 4000
 #: Smoothing of the shares, cost of an error, passes over the sample.
 ALPHA = 1.0
@@ -153,11 +153,8 @@ def train(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> NbSvm | flo
         return 0.5 if not rows_of.any() else float(rows_of[1] > 0)
     shares = (table[:, :PLACES] + ALPHA) / (table[:, :PLACES] + ALPHA).sum(axis=1, keepdims=True)
     ratio = np.log(shares[1] / shares[0])
-    share = F.when(F.col("quality") == 1, F.lit(min(1.0, sample_rows / rows_of[1]))).otherwise(F.lit(min(1.0, sample_rows / rows_of[0])))
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = with_computed(
-        labelled.select("text", "quality", F.xxhash64("text").alias("h")).where(place < share), "text", "places array<int>", lambda t: [list(features(t))]
-    ).toPandas()
+    texts = picked_texts(labelled.select("text", "quality"), distinct_texts(labelled, "quality"), sample_rows, "quality")
+    sample = with_computed(texts, "text", "places array<int>", lambda t: [list(features(t))]).drop("text").dropDuplicates(["h", "quality"]).toPandas()
     sample = sample.sort_values(["h", "quality"], kind="stable")
     rows = [np.asarray(p, np.int64) for p in sample["places"]]
     y = np.where(sample["quality"].to_numpy() > 0, 1.0, -1.0)
@@ -167,14 +164,15 @@ def train(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> NbSvm | flo
     if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
         aside = np.zeros(len(y), bool)
     fit = np.flatnonzero(~aside)
-    per_class = {c: max(1, (y[fit] == c).sum()) for c in (1.0, -1.0)}
-    cost = np.array([COST * len(fit) / (2 * per_class[y[i]]) for i in fit])
+    copies = sample["copies"].to_numpy(np.float64)
+    per_class = {c: max(1.0, copies[fit][y[fit] == c].sum()) for c in (1.0, -1.0)}
+    cost = np.array([COST * len(fit) * copies[i] / (2 * per_class[y[i]]) for i in fit])
     w, b = dual_coordinate_descent([rows[i] for i in fit], ratio, y[fit], cost)
     model = NbSvm((ratio**2).astype(np.float32), (w * ratio).astype(np.float32), b, 1.0, 0.0)
     held = np.flatnonzero(aside) if aside.any() else fit
     margin = np.array([model.margin(rows[i]) for i in held])
-    drawn = {1.0: (y[held] > 0).sum(), -1.0: (y[held] < 0).sum()}
-    weight = np.array([rows_of[int(y[i] > 0)] / rows_of.sum() * len(held) / drawn[y[i]] for i in held])
+    drawn = {1.0: copies[held][y[held] > 0].sum(), -1.0: copies[held][y[held] < 0].sum()}
+    weight = np.array([rows_of[int(y[i] > 0)] / rows_of.sum() * len(held) * copies[i] / drawn[y[i]] for i in held])
     model.slope, model.offset = calibrate(margin, y[held], weight)
     return model
 

@@ -15,7 +15,7 @@ Text without a candidate takes no part in the sum, so the work follows the candi
 text without a digit, an at sign, '(at)' or '[at]' can have none and is not searched.
 
 Weights are learned by gradient steps on the conditional likelihood, on a bounded sample of
-groups of candidates: at most 20 of each of about 2000 texts, at most 2000 distinct ones of
+groups of candidates: at most 20 of each of at most 2000 distinct texts, at most 2000 distinct ones of
 all, both picked by a hash of the group's own surroundings (``train`` has all bounds). Their segmentation is the base patterns' own; a candidate
 that only the generous patterns know is unlabelled, so both its readings count. A Gaussian
 prior around fixed starting weights keeps features that the sample does not show.
@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import with_computed
+from daymark.llm.common import distinct_texts, picked_texts, with_computed
 
 KINDS = ("email", "ip", "card", "phone")
 #: Texts that the weights are learned on.
@@ -417,7 +417,7 @@ def chosen(parts: set[str], most: int) -> list[str]:
 
 
 def train(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
-    """Weights from ``sample_rows`` texts with a digit or an at sign, also a spelled-out one,
+    """Weights from at most ``sample_rows`` distinct texts with a digit or an at sign, also a spelled-out one,
     picked by a hash.
 
     Of each text only the surroundings of its groups of candidates reach the driver: the
@@ -426,9 +426,7 @@ def train(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
     learned from, or fewer where they hold more than ``SAMPLE_CANDIDATES`` candidates.
     """
     rows = docs.select("text").where(F.col("text").rlike(TRIGGER_PATTERN))
-    n = rows.count()
-    share = min(1.0, sample_rows / n) if n else 1.0
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    texts = picked_texts(rows, distinct_texts(rows), sample_rows)
 
     def cut(texts: list[str | None]) -> list[list]:
         out = []
@@ -438,7 +436,7 @@ def train(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
             out.append(sorted(parts, key=by_hash)[:SAMPLE_GROUPS])
         return [out]
 
-    sample = with_computed(rows.where(place < share), "text", "parts array<string>", cut).toPandas()
+    sample = with_computed(texts, "text", "parts array<string>", cut).drop("text").dropDuplicates(["h"]).toPandas()
     return learn(chosen({p for parts in sample["parts"] for p in parts}, sample_rows))
 
 

@@ -26,7 +26,7 @@ from daymark.llm import (
     topk_search,
     transcripts,
 )
-from daymark.llm.common import shared_folder, stored, table
+from daymark.llm.common import distinct_texts, picked_texts, shared_folder, stored, table
 from daymark.llm.queries import ORACLE_SQL, QUERIES
 from verification.compare import connect, difference, session
 
@@ -201,6 +201,17 @@ def test_personal_data_of_awkward_rows(spark):
 # 2
 
 
+def test_samples_are_bounded_whatever_the_copies(spark):
+    rows = [("the same text of many rows 12", q) for q in (0, 1) for _ in range(300)] + [(f"text {i} number {i}", i % 2) for i in range(200)]
+    df = frame(spark, rows, pa.schema([("text", pa.string()), ("quality", pa.int32())])).repartition(4)
+    for most in (20, 1000):
+        found = picked_texts(df, distinct_texts(df, "quality"), most, "quality").dropDuplicates(["h", "quality"]).collect()
+        assert Counter(r["quality"] for r in found) == {q: min(most, 101) for q in (0, 1)}
+    assert sum(r["copies"] for r in found) == 800 and max(r["copies"] for r in found) == 300
+    assert picked_texts(df, distinct_texts(df, "quality"), 1000, "quality").count() <= 4 * 202
+    assert picked_texts(df.limit(0), distinct_texts(df.limit(0)), 10).count() == 0
+
+
 def test_dual_coordinate_descent_separates():
     rows = [np.array([0, 2]), np.array([0, 3]), np.array([1, 2]), np.array([1, 3])]
     w, b = nbsvm.dual_coordinate_descent(rows, np.array([1.0, -1.0, 0.1, 0.1]), np.array([1, 1, -1, -1.0]), np.full(4, 10.0))
