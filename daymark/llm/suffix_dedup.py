@@ -1,4 +1,4 @@
-"""Repeated passages: prefix-partitioned suffix trees over words.
+"""Repeated passages: suffixes of 35 words, grouped by prefixes; no suffix tree is built.
 
 A window is 35 consecutive words of one document. Every word that is covered by a window
 whose word sequence also starts anywhere else, in the same document or another, is removed;
@@ -10,9 +10,8 @@ windows are judged on the input. Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.
    are suffixes of the text that share this prefix, at the same distance in every place
    where they occur. Only prefixes with more than one place are kept.
 3. Suffixes with one prefix form a group. Groups of up to 512 places are put side by side
-   in memory: the suffixes are sorted, and neighbours whose common prefix reaches 35 words
-   hang below one internal node of that depth. For larger groups the prefix is made longer,
-   up to the full 35 words; then the size of the group alone tells what repeats, and it is
+   in memory: the suffixes are cut to 35 words and sorted, and neighbours are compared for
+   equality. For larger groups the prefix becomes the full 35 words; then the size of the group alone tells what repeats, and it is
    counted with partial sums, never gathered.
 4. The repeated windows of a text are merged into passages, and these are cut out.
 
