@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daymark.llm import mixing
+from daymark.llm import divergence, mixing, rule_ledger
 from daymark.llm.common import WORD
 
 WORDS = f"""
@@ -107,4 +107,6 @@ ORACLE_SQL = {
     "op5_mixing": mixing.ORACLE_SQL,
     "op7_topk_search": TOP_K,
     "op9_jaccard_join": NEAR_DUPLICATES,
+    "op12_quality_rules": rule_ledger.ORACLE_SQL,
+    "op13_source_divergence": divergence.ORACLE_SQL,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import byte_cnn, decontaminate, jaccard_join, mixing, nbsvm, semi_crf, suffix_dedup, token_files, topk_search, transcripts
+from daymark.llm import (
+    byte_cnn,
+    decontaminate,
+    divergence,
+    jaccard_join,
+    mixing,
+    nbsvm,
+    periodic_runs,
+    rule_ledger,
+    semi_crf,
+    suffix_dedup,
+    token_files,
+    topk_search,
+    transcripts,
+)
 from daymark.llm.common import table
 from daymark.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -56,6 +70,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(periodic_runs.planted(table(spark, sf_dir, "documents")))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ledger.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_semi_crf": op1_semi_crf,
     "op2_quality": op2_quality,
@@ -67,4 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_transcripts": op8_transcripts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_source_divergence": op13_source_divergence,
 }
