@@ -50,6 +50,11 @@ def json_text(text: str | Column, key: str) -> Column:
     return F.get_json_object(text, f"$.{key}")
 
 
+def text_digest(text: str | Column) -> Column:
+    """128 bits that stand for a text; a NULL text has an (empty) digest of its own."""
+    return F.coalesce(F.unhex(F.md5(text)), F.lit(bytearray()))
+
+
 def is_suspended(vocabulary: Vocabulary, with_fraud: bool = True) -> Column:
     """Suspended by status or, if asked, by the ending of the fraud status."""
     tests = [F.col("account_status_code") == vocabulary.suspended_status]

@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 
 from daymark.config import Vocabulary
 from daymark.functions.dates import day_of, days_in_month
-from daymark.functions.predicates import any_metric, is_event, is_reader_view, json_text
+from daymark.functions.predicates import (
+    any_metric,
+    is_event,
+    is_reader_view,
+    json_text,
+    text_digest,
+)
 from daymark.operators.joins import semi_join_delete
 
 
@@ -75,15 +81,34 @@ def user_activity(
 
     A flag has the name of the output that counts its users.
     """
+    rows = with_event_facts(events, vocabulary)
+    return rows.groupBy(*keys, "user_id").agg(*_activity_sums(vocabulary))
+
+
+def _activity_sums(vocabulary: Vocabulary) -> list[Column]:
     counters, users = event_counters(vocabulary), user_conditions(vocabulary)
-    return (
-        with_event_facts(events, vocabulary)
-        .groupBy(*keys, "user_id")
-        .agg(
-            *[F.count_if(c).alias(name) for name, c in counters.items()],
-            *[F.max(F.coalesce(c, F.lit(False))).alias(name) for name, c in users.items()],
-        )
+    return [
+        *[F.count_if(c).alias(name) for name, c in counters.items()],
+        *[F.max(F.coalesce(c, F.lit(False))).alias(name) for name, c in users.items()],
+    ]
+
+
+def activity_facts(
+    events: DataFrame, keys: Sequence[str], vocabulary: Vocabulary
+) -> DataFrame:
+    """The same per key, user and digest of a login text, with the last login.
+
+    Everything the tables say about activity can be merged from these rows: sums, flags,
+    first and last logins, and how many different login texts there are under any coarser
+    key. A digest of 16 bytes stands for a text, events other than logins have none, and
+    the rows of one very busy user are spread by their digests.
+    """
+    login = is_event(vocabulary.login)
+    rows = with_event_facts(events, vocabulary).withColumn(
+        "text_digest", F.when(login, text_digest("user_data"))
     )
+    last = F.max(F.when(login, F.col("event_day"))).alias("last_login_date")
+    return rows.groupBy(*keys, "user_id", "text_digest").agg(*_activity_sums(vocabulary), last)
 
 
 def merge_user_activity(

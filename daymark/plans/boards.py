@@ -11,7 +11,7 @@ from daymark.config import Inputs, Vocabulary
 from daymark.functions.dates import as_date, day_of, iso_date_text
 from daymark.functions.predicates import is_event, is_reader_view
 from daymark.operators.aggregates import composite_distinct
-from daymark.operators.rolling import LONG, member_spans, spread
+from daymark.operators.rolling import LONG, rolling_members
 from daymark.sources.tables import scan_external_events
 
 _DAY = "computation_date"
@@ -29,14 +29,7 @@ def window_and_day_members(
 
     The daily figure is NULL for a day without rows.
     """
-    spans = member_spans(rows.select(member, _DAY).distinct(), [member])
-    counts = spans.groupBy(_DAY, "span").agg(F.count(member).alias("members"))
-    on_day = F.when(F.col("age") == 0, F.col("members"))
-    return (
-        spread(counts, first, last)
-        .groupBy("calendar_date")
-        .agg(F.sum("members").alias(names[0]), F.sum(on_day).alias(names[1]))
-    )
+    return rolling_members(rows, [], member, first, last, {names[0]: LONG, names[1]: 1})
 
 
 def rolling_activity_series(

@@ -12,14 +12,15 @@ from daymark.plans.account_dimension import account_type_edition_daily
 from daymark.plans.events import (
     events_daily,
     events_regional_daily,
-    lookback_user_days,
+    lookback_facts,
+    user_days_of,
 )
 from daymark.plans.history import (
     HISTORY_TABLES,
     History,
     advanced,
-    brought_up_to_date,
     history_before,
+    history_with_facts,
     window_start,
 )
 from daymark.plans.revenue import revenue_daily
@@ -44,32 +45,36 @@ def run_daily(
 ) -> dict[str, DataFrame]:
     """Load all five tables; the dimension is loaded first and read by the others.
 
-    A rerun replaces the same days. The activity per user is stored once for the two
-    tables that need it. With a ``kept`` history the rows before its end, or before
-    the lookback of the window, are not read. What is stored also cuts the lineage of the tables
-    after it, so a lost executor does not bring all work back.
+    A rerun replaces the same days. Raw events are read once: those of the lookback are
+    reduced to facts, which are stored and serve all tables; older ones only reach the
+    history, and with a ``kept`` history just those from its end on. What is stored also
+    cuts the lineage of the tables after it, so a lost executor does not bring all work
+    back.
     """
-    spark = inputs.raw_events.sparkSession
-    days_path = f"{base}/_user_days/{etl_date}"
-    lookback_user_days(inputs, etl_date, vocabulary).write.mode("overwrite").parquet(days_path)
-    user_days = spark.read.parquet(days_path)
-
-    history = None
-    if kept is not None:
-        history = brought_up_to_date(kept, inputs, etl_date, vocabulary)
-        history = _stored_history(history, f"{base}/_history/{etl_date}", "overwrite")
+    facts = _stored(lookback_facts(inputs, etl_date, vocabulary), f"{base}/_facts/{etl_date}")
+    user_days = _stored(user_days_of(facts, vocabulary), f"{base}/_user_days/{etl_date}")
+    history = _stored_history(
+        history_with_facts(inputs, etl_date, vocabulary, facts, kept),
+        f"{base}/_history/{etl_date}",
+        "overwrite",
+    )
 
     name = "account_type_edition_daily"
     dimension = account_type_edition_daily(inputs, etl_date, vocabulary, history)
     tables = {name: load_table(dimension, base, name)}
     arguments = (inputs, tables[name], etl_date, vocabulary)
-    facts = {
+    facts_tables = {
         "events_daily": events_daily(*arguments, history, user_days),
         "events_regional_daily": events_regional_daily(*arguments, history, user_days),
         "revenue_daily": revenue_daily(*arguments),
-        "count_user_rolling_days": count_user_rolling_days(*arguments),
+        "count_user_rolling_days": count_user_rolling_days(*arguments, facts),
     }
-    return tables | {name: load_table(df, base, name) for name, df in facts.items()}
+    return tables | {name: load_table(df, base, name) for name, df in facts_tables.items()}
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _stored_history(history: History, path: str, mode: str) -> History:

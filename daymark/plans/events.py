@@ -18,6 +18,7 @@ from daymark.functions.predicates import (
     lookback_window,
 )
 from daymark.operators.aggregates import (
+    activity_facts,
     activity_of_users,
     daily_activity,
     merge_user_activity,
@@ -25,7 +26,11 @@ from daymark.operators.aggregates import (
     user_activity,
 )
 from daymark.operators.joins import full_join_tested
-from daymark.operators.rolling import rolling_activity, rolling_of_member_days
+from daymark.operators.rolling import (
+    activity_member_days,
+    rolling_activity,
+    rolling_of_member_days,
+)
 from daymark.plans.history import History
 from daymark.schemas import EVENTS_DAILY, EVENTS_REGIONAL_DAILY, enforce_schema
 from daymark.sources.tables import scan_raw_events
@@ -56,6 +61,29 @@ def lookback_user_days(
     return user_activity(events, REGION_KEYS, vocabulary)
 
 
+def lookback_facts(
+    inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary
+) -> DataFrame:
+    """The one reduction of raw events that a run stores, for the months it looks at.
+
+    Activity per user, first and last logins and the login texts of the rolling counts
+    are all merged from it.
+    """
+    events = scan_raw_events(inputs.raw_events).filter(lookback_window(event_day(), etl_date))
+    return activity_facts(events, REGION_KEYS, vocabulary)
+
+
+def user_days_of(facts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``lookback_user_days`` from stored facts."""
+    return merge_user_activity(facts, REGION_KEYS, vocabulary)
+
+
+def member_days_of(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Logins with their texts, and reader views, per day and user, from stored facts."""
+    kinds = _kinds_of_activity(facts, [*keys, "text_digest"]).drop("tuples")
+    return activity_member_days(kinds, keys)
+
+
 def run_activity(
     inputs: Inputs,
     keys: list[str],
@@ -122,14 +150,17 @@ def run_rolling_activity(
     etl_date: dt.date,
     vocabulary: Vocabulary,
     user_days: DataFrame | None = None,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Rolling activity of the run window.
 
-    ``user_days`` replace the raw events where the key is account and region; they
-    hold no login texts, so their login totals stay empty.
+    Stored ``facts`` replace the raw events for any key, ``user_days`` where the key is
+    account and region; these hold no login texts, so their login totals are zero.
     """
     span = months_before(etl_date, 1), as_date(etl_date)
-    if user_days is None:
+    if facts is not None:
+        rolling = rolling_of_member_days(member_days_of(facts, keys), keys, *span)
+    elif user_days is None:
         activity = lookback_activity(inputs, keys, etl_date, vocabulary)
         rolling = rolling_activity(activity, keys, *span)
     else:

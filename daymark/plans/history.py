@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymark.config import Inputs, Vocabulary
-from daymark.functions.predicates import is_event
+from daymark.functions.predicates import is_event, lookback_window
 from daymark.sources.tables import scan_product
 
 USER = ["account_id", "region", "user_id"]
@@ -35,6 +35,14 @@ def user_facts(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
     )
 
 
+def user_facts_of(facts: DataFrame) -> DataFrame:
+    """The same from stored activity facts, without another look at the events."""
+    return facts.groupBy(*USER).agg(
+        F.min(F.when(F.col("login_users"), F.col("computation_date"))).alias("first_login_date"),
+        F.max("last_login_date").alias("last_login_date"),
+    )
+
+
 def seen_accounts(
     inputs: Inputs, vocabulary: Vocabulary, users: DataFrame | None = None
 ) -> DataFrame:
@@ -152,6 +160,34 @@ def brought_up_to_date(
     return fold(kept, history_of(rows_between(inputs, kept.until, None), vocabulary))
 
 
+def history_with_facts(
+    inputs: Inputs,
+    etl_date: dt.date,
+    vocabulary: Vocabulary,
+    facts: DataFrame,
+    kept: History | None = None,
+) -> History:
+    """All rows' history for the run of ``etl_date``, from ``facts`` and what they lack.
+
+    ``facts`` hold the events of the run's lookback; raw events are read only outside of
+    it, and with a ``kept`` history only from its end on. So a run reads no event twice.
+    """
+    if kept is not None and kept.until > window_start(etl_date):
+        raise ValueError(f"the history ends before {kept.until}, inside the window of {etl_date}")
+    recent = inputs if kept is None else rows_between(inputs, kept.until, None)
+    day = F.to_date("event_day")
+    # Days are not NULL where a table is loaded by day; an event without one is in no window.
+    others = recent.raw_events.filter(
+        ~F.coalesce(lookback_window(day, etl_date), F.lit(False))
+    )
+    if kept is not None:
+        facts = facts.filter(F.col("computation_date") >= F.lit(kept.until))
+    rest = user_facts(replace(recent, raw_events=others), vocabulary)
+    users = _fold(rest, user_facts_of(facts))
+    found = history_of(recent, vocabulary, users)
+    return found if kept is None else fold(kept, found)
+
+
 def fold(older: History, newer: History) -> History:
     """The history of both sets of rows."""
     return History(

@@ -34,17 +34,27 @@ def run_rolling_readers(
 
 
 def count_user_rolling_days(
-    inputs: Inputs, dimension: DataFrame, etl_date: dt.date, vocabulary: Vocabulary
+    inputs: Inputs,
+    dimension: DataFrame,
+    etl_date: dt.date,
+    vocabulary: Vocabulary,
+    facts: DataFrame | None = None,
+    activity: DataFrame | None = None,
+    readers: DataFrame | None = None,
 ) -> DataFrame:
     """Metered readers join the account's activity, not the account itself.
 
     An account that is metered but has no events therefore gives two rows: its
     dimension row without readers, and a row of its own without attributes.
+
+    Stored ``facts`` replace the raw events; ``activity`` and ``readers`` are the rolling
+    figures themselves, where they have been carried forward from day to day.
     """
-    activity = run_rolling_activity(inputs, ["account_id"], etl_date, vocabulary).withColumn(
-        "has_activity", F.lit(True)
-    )
-    readers = run_rolling_readers(inputs, etl_date, vocabulary)
+    if activity is None:
+        activity = run_rolling_activity(inputs, ["account_id"], etl_date, vocabulary, facts=facts)
+    if readers is None:
+        readers = run_rolling_readers(inputs, etl_date, vocabulary)
+    activity = activity.withColumn("has_activity", F.lit(True))
     accounts = run_dimension(dimension, etl_date).join(activity, KEYS, "left")
     rows = (
         full_join_tested(accounts, readers, KEYS, F.col("has_activity"), "readers")

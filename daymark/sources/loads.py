@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymark.schemas import enforce_schema
@@ -23,8 +24,13 @@ def positional(staging: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Range-partition and sort by the key, so a large day is cut by account."""
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    """One task per day, or several for a large one, each sorted by the key.
+
+    Days are brought together by a hash and cut to even sizes by what the shuffle has
+    measured (AQE), so the rows are computed once: a range partitioning would run the
+    last stage a second time to sample them.
+    """
+    return df.hint("rebalance", F.col(DAY)).sortWithinPartitions(*keys)
 
 
 def clustered_write(

@@ -13,14 +13,18 @@ from daymark.plans.account_dimension import account_type_edition_daily
 from daymark.plans.events import (
     events_daily,
     events_regional_daily,
+    lookback_facts,
     lookback_user_days,
+    user_days_of,
 )
 from daymark.plans.history import (
     advanced,
     brought_up_to_date,
     history_before,
+    history_with_facts,
     window_start,
 )
+from daymark.plans.rolling import count_user_rolling_days
 from daymark.sources.tables import scan_external_events
 from verification.inputs import (
     ETL_DATE,
@@ -95,6 +99,39 @@ def _(c: Context):
     return events_regional_daily(c.inputs, c.dimension, ETL_DATE, V, _kept(c), days)
 
 
+def _facts(c: Context):
+    return lookback_facts(c.inputs, ETL_DATE, V)
+
+
+def _facts_history(c: Context):
+    """An older history and the stored facts: each raw event is read once."""
+    kept = history_before(c.inputs, dt.date(2023, 10, 9), V)
+    return history_with_facts(c.inputs, ETL_DATE, V, _facts(c), kept)
+
+
+@case("job_account_type_edition_daily_facts", "SELECT * FROM dimension")
+def _(c: Context):
+    history = history_with_facts(c.inputs, ETL_DATE, V, _facts(c))
+    return account_type_edition_daily(c.inputs, ETL_DATE, V, history)
+
+
+@case("job_events_daily_facts", "SELECT * FROM events_table")
+def _(c: Context):
+    days = user_days_of(_facts(c), V)
+    return events_daily(c.inputs, c.dimension, ETL_DATE, V, _facts_history(c), days)
+
+
+@case("job_events_regional_daily_facts", "SELECT * FROM regional_table")
+def _(c: Context):
+    days = user_days_of(_facts(c), V)
+    return events_regional_daily(c.inputs, c.dimension, ETL_DATE, V, _facts_history(c), days)
+
+
+@case("job_user_rolling_period_facts", "SELECT * FROM rolling_table")
+def _(c: Context):
+    return count_user_rolling_days(c.inputs, c.dimension, ETL_DATE, V, _facts(c))
+
+
 def total(column: str, name: str | None = None, where: str = "") -> str:
     kept = f" FILTER (WHERE {where})" if where else ""
     return f"CAST(sum({column}){kept} AS BIGINT) AS {name or column}"
