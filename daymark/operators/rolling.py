@@ -237,6 +237,11 @@ def rolling_of_member_days(
         {"login": login, "view": ~login},
         {"texts": F.when(login, F.col("tuples"))},
     )
+    return found.select("calendar_date", *keys, *activity_columns())
+
+
+def activity_columns() -> list[Column]:
+    """The columns of the activity tables, from figures of ``login``, ``view`` and ``texts``."""
     columns = []
     for prefix, width in (("l30", LONG), ("l7", SHORT)):
         columns += [
@@ -247,7 +252,7 @@ def rolling_of_member_days(
             F.col(f"login_seen_{width}").cast("bigint").alias(f"{prefix}_count_active_accounts"),
             (F.col(f"login_{width}") - F.col(f"view_{width}")).alias(f"{prefix}_count_active_authors"),
         ]
-    return found.select("calendar_date", *keys, *columns)
+    return columns
 
 
 def range_counts(

@@ -216,15 +216,18 @@ def events_regional_daily(
     vocabulary: Vocabulary,
     history: History | None = None,
     user_days: DataFrame | None = None,
+    rolling: DataFrame | None = None,
 ) -> DataFrame:
     """Dimension rows fan out to the regions active in their 30 days.
 
     Activity in another region, and new authors without a matching activity row,
-    stay as rows of their own without account attributes.
+    stay as rows of their own without account attributes. ``rolling`` are the rolling
+    figures where they have been carried forward from day to day.
     """
     accounts = run_dimension(dimension, etl_date).withColumn("in_dimension", F.lit(True))
     places = ["account_id", "region"]
-    rolling = run_rolling_activity(inputs, places, etl_date, vocabulary, user_days)
+    if rolling is None:
+        rolling = run_rolling_activity(inputs, places, etl_date, vocabulary, user_days)
     activity = run_activity(inputs, REGION_KEYS, etl_date, vocabulary, user_days).withColumn(
         "in_activity", F.lit(True)
     )

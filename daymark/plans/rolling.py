@@ -17,14 +17,19 @@ from daymark.schemas import COUNT_USER_ROLLING_DAYS, enforce_schema
 from daymark.sources.tables import scan_metering
 
 
-def run_rolling_readers(
+def lookback_metering(
     inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary
 ) -> DataFrame:
-    metered = scan_metering(inputs.metering, vocabulary).filter(
+    return scan_metering(inputs.metering, vocabulary).filter(
         lookback_window("computation_date", etl_date)
     )
+
+
+def run_rolling_readers(
+    inputs: Inputs, etl_date: dt.date, vocabulary: Vocabulary
+) -> DataFrame:
     return rolling_members(
-        metered,
+        lookback_metering(inputs, etl_date, vocabulary),
         ["account_id"],
         "usage_resource",
         months_before(etl_date, 1),

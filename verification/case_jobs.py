@@ -15,6 +15,7 @@ from daymark.plans.events import (
     events_regional_daily,
     lookback_facts,
     lookback_user_days,
+    member_days_of,
     user_days_of,
 )
 from daymark.plans.history import (
@@ -24,7 +25,14 @@ from daymark.plans.history import (
     history_with_facts,
     window_start,
 )
-from daymark.plans.rolling import count_user_rolling_days
+from daymark.plans.rolling import count_user_rolling_days, lookback_metering
+from daymark.plans.rolling_state import (
+    carried_activity,
+    carried_readers,
+    carry_forward,
+    keep_state,
+    state_of,
+)
 from daymark.sources.tables import scan_external_events
 from verification.inputs import (
     ETL_DATE,
@@ -132,6 +140,39 @@ def _(c: Context):
     return count_user_rolling_days(c.inputs, c.dimension, ETL_DATE, V, _facts(c))
 
 
+RECENT = f"computation_date > DATE '{ETL_DATE}' - 30"
+
+
+def _carried(c: Context, rows, carried):
+    """Figures of the last 30 days, from a state of the day before and 30 daily steps."""
+    path, before = c.new_path(), ETL_DATE - dt.timedelta(days=30)
+    rows.write.parquet(f"{path}/rows")
+    rows = c.spark.read.parquet(f"{path}/rows")
+    keep_state(state_of(rows, carried, before), f"{path}/states")
+    first = before + dt.timedelta(days=1)
+    return carry_forward(c.spark, f"{path}/states", rows, carried, first, ETL_DATE)
+
+
+@case("job_user_rolling_period_advanced", f"SELECT * FROM rolling_table WHERE {RECENT}")
+def _(c: Context):
+    days = member_days_of(_facts(c), ["account_id"])
+    activity = _carried(c, days, carried_activity("account_id"))
+    metered = lookback_metering(c.inputs, ETL_DATE, V).distinct()
+    readers = _carried(c, metered, carried_readers())
+    table = count_user_rolling_days(
+        c.inputs, c.dimension, ETL_DATE, V, activity=activity, readers=readers
+    )
+    return table.filter(F.expr(RECENT))
+
+
+@case("job_events_regional_daily_advanced", f"SELECT * FROM regional_table WHERE {RECENT}")
+def _(c: Context):
+    places = ["account_id", "region"]
+    rolling = _carried(c, member_days_of(_facts(c), places), carried_activity(*places))
+    table = events_regional_daily(c.inputs, c.dimension, ETL_DATE, V, rolling=rolling)
+    return table.filter(F.expr(RECENT))
+
+
 def total(column: str, name: str | None = None, where: str = "") -> str:
     kept = f" FILTER (WHERE {where})" if where else ""
     return f"CAST(sum({column}){kept} AS BIGINT) AS {name or column}"
