@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymark.operators.skew import row_salt
+
 
 def with_not_in(
     rows: DataFrame, excluded: DataFrame, column: str, flag: str
@@ -17,14 +18,20 @@ def with_not_in(
     It is false where SQL gives NULL: for every row if a NULL is listed, and for a
     NULL value unless nothing is listed. Spark plans ``NOT IN`` as a broadcast of
     the whole list; here the list is joined by its key, and only two of its counts
-    reach every task.
+    reach every task. Rows with a NULL match nothing; they are dealt over many tasks.
     """
     values = excluded.select(F.col(column).alias("_listed"))
     null_listed, nothing_listed = (
         values.agg(test).scalar()
         for test in (F.count_if(F.col("_listed").isNull()) > 0, F.count(F.lit(1)) == 0)
     )
-    joined = rows.join(values.distinct(), rows[column] == values["_listed"], "left")
+    listed = values.filter(F.col("_listed").isNotNull()).distinct()
+    # Zero, but not a constant to the optimizer, which would take it out of the join keys.
+    listed = listed.withColumn("_place", F.pmod(F.xxhash64("_listed"), F.lit(1)))
+    place = F.when(F.col(column).isNull(), row_salt(rows).cast("long")).otherwise(F.lit(0).cast("long"))
+    placed = rows.withColumn("_row_place", place)
+    same = (placed[column] == listed["_listed"]) & (placed["_row_place"] == listed["_place"])
+    joined = placed.join(listed, same, "left").drop("_place", "_row_place")
     value = (
         ~null_listed
         & F.col("_listed").isNull()
@@ -62,50 +69,6 @@ def densify(
     return days.join(F.broadcast(calendar), "calendar_date")
 
 
-def days_reached(day: Column, width: int | Column, first: Column, last: Column) -> Column:
-    """The days of ``[first, last]`` whose window of ``width`` days contains ``day``.
-
-    Empty when there is none (``sequence`` alone would count backwards).
-    """
-    start = F.greatest(day, first)
-    end = F.least(F.date_add(day, width - 1), last)
-    return F.when(
-        start <= end, F.sequence(start, end, F.expr("interval 1 day"))
-    ).otherwise(F.array().cast("array<date>"))
-
-
-def range_join(
-    calendar: DataFrame,
-    rows: DataFrame,
-    day: str,
-    width: int,
-    first: dt.date | Column,
-    last: dt.date | Column,
-    how: str = "left",
-) -> DataFrame:
-    """Calendar days joined to the rows of the ``width`` days that end on them.
-
-    A row is copied to the days it reaches and meets the calendar by equality,
-    instead of every row being compared with every day. ``first``/``last`` bound
-    the calendar; with ``how='left'`` a day without rows is kept once.
-    """
-    bounds = [F.lit(b).cast("date") if isinstance(b, dt.date) else b for b in (first, last)]
-    calendar = calendar.filter(F.col("calendar_date").between(*bounds))
-    reached = rows.withColumn(
-        "calendar_date", F.explode(days_reached(F.col(day), width, *bounds))
-    )
-    matched = reached.join(F.broadcast(calendar), "calendar_date").select(
-        *calendar.columns, *rows.columns
-    )
-    if how == "inner":
-        return matched
-    seen = rows.select(day).distinct().select(
-        F.explode(days_reached(F.col(day), width, *bounds)).alias("calendar_date")
-    )
-    empty = calendar.join(seen.distinct(), "calendar_date", "left_anti")
-    return matched.unionByName(empty, allowMissingColumns=True)
-
-
 def full_join_tested(
     left: DataFrame, right: DataFrame, keys: Sequence[str], left_test: Column, side: str
 ) -> DataFrame:

@@ -12,7 +12,8 @@ from daymark.functions.dates import as_date, day_of, iso_date_text
 from daymark.functions.predicates import is_event, is_reader_view
 from daymark.operators.aggregates import composite_distinct
 from daymark.operators.rolling import LONG, rolling_members
-from daymark.sources.tables import scan_external_events
+from daymark.operators.skew import split_join
+from daymark.sources.tables import scan_external_accounts, scan_raw_events
 
 _DAY = "computation_date"
 
@@ -22,6 +23,22 @@ def reporting_day(reporting_dates: DataFrame) -> Column:
     return reporting_dates.select("dbr_start_date").scalar()
 
 
+def external_activity(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
+    """Days with a login or a reader view per region, external account and user.
+
+    Events are reduced before they meet the accounts, whose frequent ones are split over
+    tasks. Stored once, these rows serve both boards, and no board reads events again.
+    """
+    login, view = is_event(vocabulary.login), is_reader_view(vocabulary, ignore_case=False)
+    events = scan_raw_events(inputs.raw_events).filter(login | view)
+    days = events.groupBy("region", "account_id", "user_id", day_of("event_day").alias(_DAY)).agg(
+        F.max(login).alias("is_login"), F.max(view).alias("is_view")
+    )
+    external = scan_external_accounts(inputs.account_details, vocabulary)
+    events = inputs.raw_events
+    return split_join(days, external, "account_id", "left_semi", often_in=events)
+
+
 def window_and_day_members(
     rows: DataFrame, member: str, first: Column, last: Column, names: tuple[str, str]
 ) -> DataFrame:
@@ -33,20 +50,22 @@ def window_and_day_members(
 
 
 def rolling_activity_series(
-    inputs: Inputs, vocabulary: Vocabulary, first: dt.date, as_of: dt.date
+    inputs: Inputs,
+    vocabulary: Vocabulary,
+    first: dt.date,
+    as_of: dt.date,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Accounts, authors and readers per day, over 30 days and on the day.
 
     ``[first, as_of]`` is the date axis. Account and author figures exist for the
-    14 days up to the reporting date that have a login, and are NULL elsewhere.
+    14 days up to the reporting date that have a login, and are NULL elsewhere. ``days``
+    is the stored ``external_activity``.
     """
-    external = scan_external_events(inputs.raw_events, inputs.account_details, vocabulary)
-    days = external.withColumn(_DAY, day_of("event_day"))
+    if days is None:
+        days = external_activity(inputs, vocabulary)
     end = reporting_day(inputs.reporting_dates)
-    logins = days.filter(
-        is_event(vocabulary.login)
-        & F.col(_DAY).between(F.date_sub(end, 45), end)
-    )
+    logins = days.filter(F.col("is_login") & F.col(_DAY).between(F.date_sub(end, 45), end))
     axis = (
         inputs.calendar.filter(F.col("date").between(as_date(first), as_date(as_of)))
         .select(F.col("date").alias("calendar_date"))
@@ -63,7 +82,7 @@ def rolling_activity_series(
         F.col("daily active accounts").isNotNull()
     )
     views = days.filter(
-        is_reader_view(vocabulary, ignore_case=False)
+        F.col("is_view")
         & F.col(_DAY).between(F.date_sub(as_date(first), LONG - 1), as_date(as_of))
     )
     readers = window_and_day_members(
@@ -118,42 +137,43 @@ def new_regional_accounts(inputs: Inputs, vocabulary: Vocabulary, end: Column) -
     )
 
 
-def new_regional_authors(
-    external: DataFrame, inputs: Inputs, vocabulary: Vocabulary, end: Column
-) -> DataFrame:
-    """Users whose first login in a region falls on the reporting date."""
+def new_regional_authors(days: DataFrame, inputs: Inputs, end: Column) -> DataFrame:
+    """Users whose first login in a region falls on the reporting date.
+
+    ``days`` are all days of external activity, since a first login needs all of them.
+    """
     details = inputs.account_details.select("account_id", "internal")
     firsts = (
-        external.filter(is_event(vocabulary.login))
+        days.filter("is_login")
         .groupBy("account_id", "user_id", "region")
         .agg(F.min(_DAY).alias(_DAY))
         .filter(F.col(_DAY) == end)
-        .join(details, "account_id")
     )
+    # The same pair is counted once, so the users of one account may be dealt over tasks.
     return (
-        firsts.groupBy("region", "internal")
+        split_join(firsts, details, "account_id", often_in=inputs.raw_events)
+        .groupBy("region", "internal")
         .agg(composite_distinct("account_id", "user_id").alias("new_authors"))
         .drop("internal")
     )
 
 
-def regional_board(inputs: Inputs, vocabulary: Vocabulary, as_of: dt.date) -> DataFrame:
+def regional_board(
+    inputs: Inputs, vocabulary: Vocabulary, as_of: dt.date, days: DataFrame | None = None
+) -> DataFrame:
     """New and active accounts, authors and readers of the listed regions.
 
     Authors and accounts end on the reporting date and span 30 days. Readers end
-    two days before ``as_of``; their long figure covers the 29 days before that.
+    two days before ``as_of``; their long figure covers the 29 days before that. ``days``
+    is the stored ``external_activity``.
     """
-    external = scan_external_events(
-        inputs.raw_events, inputs.account_details, vocabulary
-    ).withColumn(_DAY, day_of("event_day"))
+    if days is None:
+        days = external_activity(inputs, vocabulary)
     end = reporting_day(inputs.reporting_dates)
-    logins = external.filter(
-        is_event(vocabulary.login) & F.col(_DAY).between(F.date_sub(end, 29), end)
-    )
+    logins = days.filter(F.col("is_login") & F.col(_DAY).between(F.date_sub(end, 29), end))
     reader_day = F.date_sub(as_date(as_of), 2)
-    views = external.filter(
-        is_reader_view(vocabulary, ignore_case=False)
-        & F.col(_DAY).between(F.date_sub(reader_day, 29), reader_day)
+    views = days.filter(
+        F.col("is_view") & F.col(_DAY).between(F.date_sub(reader_day, 29), reader_day)
     )
     earlier = F.col(_DAY) < reader_day
     viewers = views.groupBy("region", "user_id").agg(
@@ -170,7 +190,7 @@ def regional_board(inputs: Inputs, vocabulary: Vocabulary, as_of: dt.date) -> Da
         inputs.regions.filter(F.col("region_code").isin(*vocabulary.board_regions))
         .select(F.col("region_code").alias("region"))
         .join(new_regional_accounts(inputs, vocabulary, end), "region", "left")
-        .join(new_regional_authors(external, inputs, vocabulary, end), "region", "left")
+        .join(new_regional_authors(days, inputs, end), "region", "left")
         .join(accounts, "region", "left")
         .join(authors, "region", "left")
         .join(readers, "region", "left")

@@ -1,6 +1,7 @@
 """History corrections as pure functions: a table in, the corrected table out.
 
-Write the result to a new location and swap; nothing overwrites what it reads.
+``TableStore.correct`` writes the result as a new version under the correction's name, so
+one that may not be applied twice can be called again; nothing overwrites what it reads.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ def restate(
     matched = F.when(F.col("_matches") > 1, F.raise_error(clash).cast("boolean")).otherwise(
         F.col("_matches").isNotNull()
     )
+    # In a filter, the check holds whichever columns are read later.
+    joined = joined.filter(matched.isNotNull())
     columns = []
     for field in target.schema:
         value = F.col(field.name)

@@ -25,15 +25,7 @@ from daymark.plans.history import (
 )
 from daymark.plans.revenue import revenue_daily
 from daymark.plans.rolling import count_user_rolling_days
-from daymark.schemas import KEYS, TABLES
-from daymark.sources.loads import read_table, replace_days_load
-
-
-def load_table(df: DataFrame, base: str, name: str) -> DataFrame:
-    """Replace the days of ``df`` in the table under ``base``, and read the table."""
-    path = f"{base}/{name}"
-    replace_days_load(df, path, TABLES[name], KEYS[name])
-    return read_table(df.sparkSession, path, TABLES[name])
+from daymark.sources.store import TableStore
 
 
 def run_daily(
@@ -43,9 +35,11 @@ def run_daily(
     base: str,
     kept: History | None = None,
 ) -> dict[str, DataFrame]:
-    """Load all five tables; the dimension is loaded first and read by the others.
+    """Load all five tables; the dimension is staged first and read by the others.
 
-    A rerun replaces the same days. Raw events are read once: those of the lookback are
+    The days of the run window change in all tables at once, in one version of the store
+    under ``base``: a run that stops changes nothing, and a rerun replaces the same days,
+    also those that have become empty. Raw events are read once: those of the lookback are
     reduced to facts, which are stored and serve all tables; older ones only reach the
     history, and with a ``kept`` history just those from its end on. What is stored also
     cuts the lineage of the tables after it, so a lost executor does not bring all work
@@ -59,17 +53,19 @@ def run_daily(
         "overwrite",
     )
 
+    store = TableStore(inputs.raw_events.sparkSession, base)
     name = "account_type_edition_daily"
-    dimension = account_type_edition_daily(inputs, etl_date, vocabulary, history)
-    tables = {name: load_table(dimension, base, name)}
-    arguments = (inputs, tables[name], etl_date, vocabulary)
-    facts_tables = {
+    staged = {name: store.stage(name, account_type_edition_daily(inputs, etl_date, vocabulary, history))}
+    arguments = (inputs, staged[name].rows, etl_date, vocabulary)
+    built = {
         "events_daily": events_daily(*arguments, history, user_days),
         "events_regional_daily": events_regional_daily(*arguments, history, user_days),
         "revenue_daily": revenue_daily(*arguments),
         "count_user_rolling_days": count_user_rolling_days(*arguments, facts),
     }
-    return tables | {name: load_table(df, base, name) for name, df in facts_tables.items()}
+    staged |= {name: store.stage(name, df) for name, df in built.items()}
+    store.replace_days(list(staged.values()), window_start(etl_date), etl_date)
+    return {name: store.read(name) for name in staged}
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:

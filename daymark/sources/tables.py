@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daymark.config import Vocabulary
 from daymark.functions.predicates import is_reader_usage, is_suspended
+from daymark.operators.skew import split_join
 
 
 def scan_raw_events(raw_events: DataFrame) -> DataFrame:
@@ -18,11 +19,17 @@ def scan_raw_events(raw_events: DataFrame) -> DataFrame:
 def scan_external_events(
     raw_events: DataFrame, account_details: DataFrame, vocabulary: Vocabulary
 ) -> DataFrame:
-    """Events of accounts that belong to external customers."""
+    """Events of accounts that belong to external customers.
+
+    An account with a large share of the events is split over several tasks.
+    """
+    external = scan_external_accounts(account_details, vocabulary)
+    return split_join(scan_raw_events(raw_events), external, "account_id", "left_semi")
+
+
+def scan_external_accounts(account_details: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     external = account_details.filter(F.col("internal") == vocabulary.external)
-    return scan_raw_events(raw_events).join(
-        external.select("account_id"), "account_id", "left_semi"
-    )
+    return external.select("account_id")
 
 
 def scan_account_details(account_details: DataFrame) -> DataFrame:

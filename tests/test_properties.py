@@ -8,11 +8,11 @@ from collections import defaultdict
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conftest import ETL, local_frame
 from daymark.functions.dates import as_date
-from daymark.operators.joins import range_join
 from daymark.operators.rolling import rolling_activity, rolling_members
 from daymark.plans.account_dimension import account_type_edition_daily
 from daymark.plans.events import events_daily, events_regional_daily, run_activity
@@ -32,6 +32,50 @@ DDL = (
     "account_id string, user_id string, is_login boolean, computation_date date, "
     "user_data string"
 )
+def days_reached(day: Column, width: int | Column, first: Column, last: Column) -> Column:
+    """The days of ``[first, last]`` whose window of ``width`` days contains ``day``.
+
+    Empty when there is none (``sequence`` alone would count backwards).
+    """
+    start = F.greatest(day, first)
+    end = F.least(F.date_add(day, width - 1), last)
+    return F.when(
+        start <= end, F.sequence(start, end, F.expr("interval 1 day"))
+    ).otherwise(F.array().cast("array<date>"))
+
+
+def range_join(
+    calendar: DataFrame,
+    rows: DataFrame,
+    day: str,
+    width: int,
+    first: dt.date | Column,
+    last: dt.date | Column,
+    how: str = "left",
+) -> DataFrame:
+    """Calendar days joined to the rows of the ``width`` days that end on them.
+
+    A row is copied to the days it reaches and meets the calendar by equality,
+    instead of every row being compared with every day. ``first``/``last`` bound
+    the calendar; with ``how='left'`` a day without rows is kept once.
+    """
+    bounds = [F.lit(b).cast("date") if isinstance(b, dt.date) else b for b in (first, last)]
+    calendar = calendar.filter(F.col("calendar_date").between(*bounds))
+    reached = rows.withColumn(
+        "calendar_date", F.explode(days_reached(F.col(day), width, *bounds))
+    )
+    matched = reached.join(F.broadcast(calendar), "calendar_date").select(
+        *calendar.columns, *rows.columns
+    )
+    if how == "inner":
+        return matched
+    seen = rows.select(day).distinct().select(
+        F.explode(days_reached(F.col(day), width, *bounds)).alias("calendar_date")
+    )
+    empty = calendar.join(seen.distinct(), "calendar_date", "left_anti")
+    return matched.unionByName(empty, allowMissingColumns=True)
+
+
 SLOW = settings(
     max_examples=12,
     deadline=None,

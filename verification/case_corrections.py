@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from daymark.plans import corrections as fix
+from daymark.sources.store import TableStore
 from verification.inputs import VOCABULARY
 from verification.oracle import account_type_sql, amount, net_sql
 from verification.registry import Context, case
@@ -136,24 +137,49 @@ _LESS = ", ".join(
 )
 
 
-@case(
-    "backfill_new_authors_regional",
-    f"""SELECT t.* REPLACE (
+_REGIONAL_FIX = f"""SELECT t.* REPLACE (
         coalesce(n.count_new_authors, t.count_new_authors) AS count_new_authors,
         {_LESS.format(matched="n.day IS NOT NULL")},
         CASE WHEN n.day IS NULL THEN t.dw_update_date ELSE {NOW} END AS dw_update_date)
     FROM regional_table t
     LEFT JOIN authors_regional n
-      ON n.day = t.computation_date AND n.account_id = t.account_id AND n.region = t.region""",
-)
+      ON n.day = t.computation_date AND n.account_id = t.account_id AND n.region = t.region"""
+
+
+@case("backfill_new_authors_regional", _REGIONAL_FIX)
 def _(c: Context):
     return fix.backfill_new_authors_regional(c.regional, c.inputs.raw_events, V, AS_OF)
 
 
-@case(
-    "adjust_rolling_authors",
-    f"""SELECT t.* REPLACE ({_LESS.format(matched="TRUE")}, {NOW} AS dw_update_date)
-    FROM rolling_table t""",
-)
+_ROLLING_FIX = f"""SELECT t.* REPLACE ({_LESS.format(matched="TRUE")}, {NOW} AS dw_update_date)
+    FROM rolling_table t"""
+
+
+@case("adjust_rolling_authors", _ROLLING_FIX)
 def _(c: Context):
     return fix.adjust_rolling_authors(c.rolling, AS_OF)
+
+
+def _applied_twice(c: Context, table: str, rows, name: str, correction):
+    """A correction under its name, called again after it was published."""
+    store = TableStore(c.spark, c.new_path())
+    store.append(table, rows, "history")
+    for _ in range(2):
+        store.correct(table, name, correction)
+    return store.read(table)
+
+
+@case("backfill_new_authors_regional_twice", _REGIONAL_FIX)
+def _(c: Context):
+    def correction(table):
+        return fix.backfill_new_authors_regional(table, c.inputs.raw_events, V, AS_OF)
+
+    return _applied_twice(c, "events_regional_daily", c.regional, "new-authors", correction)
+
+
+@case("adjust_rolling_authors_twice", _ROLLING_FIX)
+def _(c: Context):
+    def correction(table):
+        return fix.adjust_rolling_authors(table, AS_OF)
+
+    return _applied_twice(c, "count_user_rolling_days", c.rolling, "less-readers", correction)

@@ -414,9 +414,7 @@ SERIES_FIRST = dt.date(2024, 1, 10)
 READER_CS = """event_name = 'DashboardView' AND user_data LIKE '%"role":"READER"%'"""
 
 
-@case(
-    "rpt_rolling_activity_series",
-    f"""SELECT strftime(c.date, '%Y-%m-%d') AS date,
+_SERIES_SQL = f"""SELECT strftime(c.date, '%Y-%m-%d') AS date,
         s.accounts AS "active accounts (30 days)", s.users AS "active authors (30 days)",
         (SELECT count(DISTINCT user_id) FROM external_events e
          WHERE {READER_CS} AND e.day BETWEEN c.date - 29 AND c.date)
@@ -433,8 +431,10 @@ READER_CS = """event_name = 'DashboardView' AND user_data LIKE '%"role":"READER"
         WHERE event_name = 'UserLogin'
           AND k.date > DATE '{REPORTING_DATE}' - 14 AND k.date <= DATE '{REPORTING_DATE}'
         GROUP BY k.date HAVING bool_or(day = k.date)) s ON s.date = c.date
-    WHERE c.date BETWEEN DATE '{SERIES_FIRST}' AND DATE '{ETL_DATE}'""",
-)
+    WHERE c.date BETWEEN DATE '{SERIES_FIRST}' AND DATE '{ETL_DATE}'"""
+
+
+@case("rpt_rolling_activity_series", _SERIES_SQL)
 def _(c: Context):
     return boards.rolling_activity_series(c.inputs, V, SERIES_FIRST, ETL_DATE)
 
@@ -455,9 +455,7 @@ def _view_count(first: int, last: int) -> str:
           AND day BETWEEN {_READER_END} - {first} AND {_READER_END} - {last})"""
 
 
-@case(
-    "rpt_regional_board",
-    f"""SELECT r.region_code AS "Region", ifnull(a.n, 0) AS "New Accounts",
+_BOARD_SQL = f"""SELECT r.region_code AS "Region", ifnull(a.n, 0) AS "New Accounts",
         (SELECT count(DISTINCT account_id || user_id)
          FROM (SELECT account_id, user_id, min(day) AS day FROM external_events e
                WHERE {_LOGIN} GROUP BY account_id, user_id) WHERE day = {_END}) AS "New Authors",
@@ -472,12 +470,31 @@ def _view_count(first: int, last: int) -> str:
                FROM (SELECT account_id, region, min(computation_date) AS day FROM account_daily
                      WHERE internal = 'external' GROUP BY account_id, region)
                WHERE day >= {_END} GROUP BY region, day) a ON a.region = r.region_code
-    WHERE r.region_code IN ('AFRICA', 'ASIA', 'EUROPE')""",
-)
+    WHERE r.region_code IN ('AFRICA', 'ASIA', 'EUROPE')"""
+
+
+@case("rpt_regional_board", _BOARD_SQL)
 def _(c: Context):
     return boards.regional_board(c.inputs, V, ETL_DATE)
 
 
+def _stored_days(c: Context):
+    """External activity, written once for a board."""
+    path = c.new_path()
+    boards.external_activity(c.inputs, V).write.parquet(path)
+    return c.spark.read.parquet(path)
+
+
+@case("rpt_rolling_activity_series_stored", _SERIES_SQL)
+def _(c: Context):
+    return boards.rolling_activity_series(c.inputs, V, SERIES_FIRST, ETL_DATE, _stored_days(c))
+
+
+@case("rpt_regional_board_stored", _BOARD_SQL)
+def _(c: Context):
+    return boards.regional_board(c.inputs, V, ETL_DATE, _stored_days(c))
+
+
 @case(
     "check_unique_key",
     """SELECT computation_date, account_id, region, count(*) AS row_count FROM regional_table

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from daymark.functions.predicates import etl_window
@@ -9,6 +11,8 @@ from daymark.schemas import KEYS, TABLES, enforce_schema
 from daymark.sources import loads
 from daymark.sources.calendar import run_calendar
 from daymark.sources.delimited import export_delimited, import_delimited, import_with_rejects
+from daymark.sources.loads import DAY
+from daymark.sources.store import TableStore
 from daymark.sources.tables import (
     scan_account_details,
     scan_external_events,
@@ -229,3 +233,29 @@ def _(c: Context):
 @case("table_schema", "SELECT * FROM dimension")
 def _(c: Context):
     return enforce_schema(c.dimension, TABLES["account_type_edition_daily"])
+
+
+@case("append_load_retried", "SELECT * FROM events_table")
+def _(c: Context):
+    """A batch that stopped once before and once after it was published."""
+    store, middle = TableStore(c.spark, c.new_path()), F.lit(dt.date(2024, 1, 1))
+    earlier, batch = (c.events.filter(t) for t in (F.col(DAY) < middle, F.col(DAY) >= middle))
+    store.append("events_daily", earlier, "first")
+    store.stage("events_daily", batch, "second")
+    for _ in range(2):
+        store.append("events_daily", batch, "second")
+    return store.read("events_daily")
+
+
+@case(
+    "replace_days_emptied",
+    "SELECT * FROM events_table WHERE computation_date NOT IN (DATE '2024-01-05', DATE '2024-01-07')",
+)
+def _(c: Context):
+    """A rerun of three days, of which only one still has rows."""
+    store, name = TableStore(c.spark, c.new_path()), "events_daily"
+    store.append(name, c.events, "first")
+    first, last = dt.date(2024, 1, 5), dt.date(2024, 1, 7)
+    again = store.stage(name, store.read(name).filter(F.col(DAY) == F.lit(dt.date(2024, 1, 6))))
+    store.replace_days([again], first, last)
+    return store.read(name)
