@@ -57,9 +57,9 @@ def test_a_hot_key_and_null_keys_are_spread(spark):
     rows = keyed(spark, 60_000)
     other = rows.select("k").distinct()
     tasks = rows_per_task(spark, split_join(rows, other, "k", "left"))
-    assert len(tasks) == 16 and tasks[-1] < 2 * tasks[8]
-    plain = rows_per_task(spark, rows.join(other, "k", "left"))
-    assert plain[-1] > 5 * plain[8]
+    assert len(tasks) == 16 and tasks[-1] < 2 * tasks[8], tasks
+    plain = rows_per_task(spark, rows.join(other, "k"))
+    assert plain[-1] > 5 * plain[len(plain) // 2], plain
     nulls = rows.withColumn("k", F.when(F.col("id") % 2 == 0, None).otherwise(F.col("id").cast("string")))
     kept = null_aware_anti_join(nulls, spark.range(0).select(F.col("id").cast("string").alias("k")), "k")
     tasks = rows_per_task(spark, kept)
