@@ -12,7 +12,6 @@ repeated rows do too. Null labels and null keys are not learned from.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +32,6 @@ SAMPLE_WINDOWS = 4
 MOST_LANGUAGES = 2000
 #: Windows that are computed together.
 TOGETHER = 64
-LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -93,7 +91,8 @@ def windows_of(text: str) -> np.ndarray:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and LETTER.search(text) is not None
+    """Whether a character is a letter; numerals such as "²", "½" or "Ⅷ" are none."""
+    return text is not None and any(map(str.isalpha, text))
 
 
 def _sampled_windows(texts: list[str | None]) -> list[list[bytes]]:
