@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,6 +98,22 @@ def chunks(texts: list[str | None], most: int = CHUNK_BYTES) -> Iterator[tuple[i
 def word_numbers(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit number for each word of each text, and where each text's words begin.
 
+    Equal words have equal numbers. The hash (xxh3) is not linear in its bytes, so no
+    pattern of long words makes different ones collide. The second array has one entry more
+    than there are texts.
+    """
+    words: list[bytes] = []
+    begins = np.zeros(len(run) + 1, np.int64)
+    for i, data in enumerate(run):
+        words += data.split()
+        begins[i + 1] = len(words)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), begins
+
+
+def feature_numbers(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The same for features of a classifier, which may share a number: words are not told
+    apart for certain.
+
     Words are hashed by differences of one running polynomial sum, so the cost is a few
     vector operations per byte. The second array has one entry more than there are texts.
     """

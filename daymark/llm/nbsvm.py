@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import chunks, distinct_texts, gram_numbers, mixed, picked_texts, stored, with_computed, word_numbers
+from daymark.llm.common import chunks, distinct_texts, feature_numbers, gram_numbers, mixed, picked_texts, stored, with_computed
 
 PLACES = 1 << 18
 #: Distinct texts per class, at most, that the hinge-loss model is fitted on.
@@ -57,8 +57,8 @@ def _shape(data: bytes) -> bytes:
 def features(texts: list[str | None]) -> Iterator[np.ndarray]:
     """The places of each text's indicators, sorted, each once."""
     for _, run in chunks(texts):
-        words, w_at = word_numbers(run)
-        shapes, s_at = word_numbers([_shape(d) for d in run])
+        words, w_at = feature_numbers(run)
+        shapes, s_at = feature_numbers([_shape(d) for d in run])
         families = [(words, w_at, n, n) for n in (1, 2)] + [(shapes, s_at, n, 8 + n) for n in (1, 2, 3)]
         grams = [(mixed(gram_numbers(x, n) + np.uint64(salt)) % np.uint64(PLACES), at, n) for x, at, n, salt in families]
         triples = gram_numbers(words, 3)
