@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,6 +141,18 @@ def gram_numbers(numbers: np.ndarray, n: int) -> np.ndarray:
     return mixed(total)
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``most`` bytes in one of its columns, so that what a task
+    makes of a part is bounded by bytes; a longer value stands alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes, dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for first, end in zip(cuts, cuts[1:]):
+        if end > first:
+            yield batch.slice(first, end - first)
+    pa.default_memory_pool().release_unused()
+
+
 def distinct_texts(rows: DataFrame, *labels: str) -> DataFrame:
     """h (the text's hash), the labels and ``copies``, the number of rows that share them."""
     return stored(rows.groupBy(F.xxhash64("text").alias("h"), *labels).agg(F.count("*").alias("copies")), "texts")
@@ -192,9 +205,10 @@ def with_computed(df: DataFrame, text: str, ddl: str, compute: Callable) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            made = [pa.array(c, t) for c, t in zip(compute(texts), types, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns + made, names=schema.names)
+            for part in slices(batch, batch.num_columns - 1):
+                texts = part.column(part.num_columns - 1).to_pylist()
+                columns = [part.column(i) for i in range(part.num_columns - 1)]
+                made = [pa.array(c, t) for c, t in zip(compute(texts), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns + made, names=schema.names)
 
     return df.mapInArrow(run, schema)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import SHINGLE_WORDS, SIMILARITY, chunks, gram_numbers, stored, word_numbers
+from daymark.llm.common import SHINGLE_WORDS, SIMILARITY, chunks, gram_numbers, slices, stored, word_numbers
 
 BANDS = 32
 BAND_ROWS = 5
@@ -49,7 +49,7 @@ BLOCK_SHINGLES = 400_000
 #: Sets of the left block whose pairs are looked at together.
 ROWS = 64
 #: Shingles that an exact comparison lays out side by side.
-WIDE = 4096
+WIDE = 1024
 
 _RNG = np.random.default_rng(20_240_501)
 FACTORS = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -117,14 +117,14 @@ def least_matches(threshold: float, tolerance: float) -> tuple[int, ...]:
     return tuple(out)
 
 
-def linked_pairs(
+def linked_parts(
     left: list[np.ndarray], left_hash: np.ndarray, right: list[np.ndarray], right_hash: np.ndarray, same: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of the pairs whose similarity reaches the threshold."""
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Indices of the pairs whose similarity reaches the threshold, for some left sets at a time."""
     size_l, size_r = np.array([len(s) for s in left]), np.array([len(s) for s in right])
-    some_i, some_j = [], []
+    verified, table = 0, None
     for a in range(0, len(left), ROWS):
-        i, j = np.indices((min(ROWS, len(left) - a), len(right))).reshape(2, -1)
+        i, j = np.indices((min(ROWS, len(left) - a), len(right)), np.int32).reshape(2, -1)
         i += a
         # Sets whose sizes alone keep them below the threshold need no look at their values.
         low, high = np.minimum(size_l[i], size_r[j]), np.maximum(size_l[i], size_r[j])
@@ -132,18 +132,28 @@ def linked_pairs(
         if same:
             keep &= i < j
         i, j = _probable(i[keep], j[keep], left_hash, right_hash)
-        some_i.append(i)
-        some_j.append(j)
-    i, j = np.concatenate(some_i), np.concatenate(some_j)
-    if not len(i):
-        return i, j
-    if len(i) <= 4 * (len(left) + len(right)):
-        common = np.array([len(np.intersect1d(left[a], right[b], assume_unique=True)) for a, b in zip(i, j, strict=True)])
-    else:
-        common = _common(left, right)[i, j]
-    union = size_l[i] + size_r[j] - common
-    keep = common >= SIMILARITY * union - 1e-9
-    return i[keep], j[keep]
+        verified += len(i)
+        if not len(i):
+            continue
+        if table is None and verified > 4 * (len(left) + len(right)):
+            table = _common(left, right)
+        if table is None:
+            common = np.array([len(np.intersect1d(left[a], right[b], assume_unique=True)) for a, b in zip(i, j, strict=True)])
+        else:
+            common = table[i, j]
+        union = size_l[i] + size_r[j] - common
+        keep = common >= SIMILARITY * union - 1e-9
+        yield i[keep], j[keep]
+
+
+def linked_pairs(
+    left: list[np.ndarray], left_hash: np.ndarray, right: list[np.ndarray], right_hash: np.ndarray, same: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """All of ``linked_parts`` together."""
+    none = np.zeros(0, np.int32)
+    parts = [(none, none), *linked_parts(left, left_hash, right, right_hash, same)]
+    i, j = (np.concatenate(side) for side in zip(*parts, strict=True))
+    return i, j
 
 
 def _probable(i: np.ndarray, j: np.ndarray, left_hash: np.ndarray, right_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,9 +193,10 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest index in the component of each of ``n`` nodes."""
-    label = np.arange(n)
+def roots(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest index in the component of each node, where ``label`` are those without the
+    edges (i, j)."""
+    i, j = np.concatenate([i, np.arange(len(label))]), np.concatenate([j, label])
     while True:
         least = np.minimum(label[i], label[j])
         new = label.copy()
@@ -205,13 +216,14 @@ def _signed(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, bands = [], [], []
-            for s in shingled(batch.column(2).to_pylist()):
-                keys.append(s and s.key)
-                sizes.append(len(s.shingles) if s else 0)
-                bands.append(s and s.bands)
-            made = [pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], schema=schema)
+            for part in slices(batch, 2):
+                keys, sizes, bands = [], [], []
+                for s in shingled(part.column(2).to_pylist()):
+                    keys.append(s and s.key)
+                    sizes.append(len(s.shingles) if s else 0)
+                    bands.append(s and s.bands)
+                made = [pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(bands, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *made], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     return rows.mapInArrow(run, "doc_id long, text_hash long, set_key binary, n_shingles int, bands array<long>")
@@ -224,18 +236,17 @@ def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(3).to_pylist()
-            found = list(shingled(batch.column(4).to_pylist()))
-            # Another text may have the same 64-bit hash; its set is another one.
-            own = [s is not None and s.key == k for s, k in zip(found, keys, strict=True)]
-            kept = [s for s, ok in zip(found, own, strict=True) if ok]
-            plain = batch.select([0, 1, 2]).filter(pa.array(own))
-            sides = [
-                pa.array([(s.minhash & np.uint32(0xFFFF)).astype("<u2").tobytes() for s in kept], pa.binary()),
-                pa.array([s.shingles.astype("<u8").tobytes() for s in kept], pa.binary()),
-            ]
-            columns = [*plain.columns, *sides]
-            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, types, strict=True)], names=names)
+            for part in slices(batch, 4):
+                own, minhash, shingles = [], [], []
+                for s, key in zip(shingled(part.column(4).to_pylist()), part.column(3).to_pylist(), strict=True):
+                    # Another text may have the same 64-bit hash; its set is another one.
+                    own.append(s is not None and s.key == key)
+                    if own[-1]:
+                        minhash.append((s.minhash & np.uint32(0xFFFF)).astype("<u2").tobytes())
+                        shingles.append(s.shingles.astype("<u8").tobytes())
+                plain = part.select([0, 1, 2]).filter(pa.array(own))
+                columns = [*plain.columns, pa.array(minhash, pa.binary()), pa.array(shingles, pa.binary())]
+                yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, types, strict=True)], names=names)
 
     texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").where(F.col("text").isNotNull())
     joined = texts.join(wanted, "text_hash").select("block", "set_id", "copies", "set_key", "text")
@@ -253,27 +264,30 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return None
         unpack = lambda side: ([np.frombuffer(r[6], "<u8") for r in side], np.stack([np.frombuffer(r[5], "<u2") for r in side]))
         (a, a_hash), (b, b_hash) = unpack(left), unpack(right)
-        i, j = linked_pairs(a, a_hash, b, b_hash, same)
-        if not len(i):
-            return None
         ids = np.array([r[3] for r in left] + ([] if same else [r[3] for r in right]))
         copies = np.array([r[4] for r in left] + ([] if same else [r[4] for r in right]))
-        j = j if same else j + len(left)
-        links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
-        root = ids[roots(len(ids), i, j)]
+        links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        # A dense pair of blocks has millions of links: they are added up as they are found.
+        for i, j in linked_parts(a, a_hash, b, b_hash, same):
+            j = j if same else j + len(left)
+            np.add.at(links, i, copies[j])
+            np.add.at(links, j, copies[i])
+            label = roots(label, i, j)
+        root = ids[label]
         some = links > 0
+        if not some.any():
+            return None
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])], names=["set_id", "links", "root"]
+            [pa.array(ids[some]), pa.array(links[some]), pa.array(root[some])], names=["set_id", "links", "root"]
         )
 
     rows: list[tuple] = []
-    for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if rows and rows[-1][:2] != row[:2]:
-                if (found := result(rows, rows[0][0] == rows[0][1])) is not None:
-                    yield found
-                rows = []
-            rows.append(row)
+    for row in (r for batch in batches for part in slices(batch, 6) for r in zip(*[c.to_pylist() for c in part.columns], strict=True)):
+        if rows and rows[-1][:2] != row[:2]:
+            if (found := result(rows, rows[0][0] == rows[0][1])) is not None:
+                yield found
+            rows = []
+        rows.append(row)
     if rows and (found := result(rows, rows[0][0] == rows[0][1])) is not None:
         yield found
 

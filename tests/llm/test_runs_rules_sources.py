@@ -278,3 +278,39 @@ def test_tree_shares_nodes():
 @pytest.mark.parametrize("key", ["op12_quality_rules", "op13_source_divergence"])
 def test_sql(spark, key):
     assert difference(QUERIES[key](spark, SMALL), connect(SMALL), ORACLE_SQL[key]) is None
+
+
+def thue_morse(n):
+    """Two different strings that every polynomial hash modulo 2**64 takes for one."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_long_words_are_told_apart(spark):
+    import corpus_pipeline
+    from daymark.llm import jaccard_join, suffix_dedup
+
+    before, after = (" ".join(f"{c}{i}" for i in range(20)) for c in "xy")
+    docs = documents(spark, [(i, f"{before} {w} {after}", "en", "a", 1) for i, w in enumerate(thue_morse(2048))])
+    assert [r.n_removed for r in suffix_dedup.remove_repeats(docs).collect()] == [0, 0]
+    found = {r.doc_id: (r.class_id, r.n_copies) for r in jaccard_join.near_duplicates(docs).collect()}
+    # 32 of 42 shingles are in both texts: no link.
+    assert found == {0: (0, 0), 1: (1, 0)}
+    assert corpus_pipeline.jaccard(spark, docs, SMALL).count() == 2
+
+
+def test_numerals_are_no_letters():
+    from daymark.llm.byte_cnn import has_letter
+
+    assert not any(map(has_letter, ["²½", "ⅧⅢ", "①", "12_3", "", None])) and all(map(has_letter, ["²a", "é", "字"]))
+
+
+def test_slices_bound_bytes_and_lose_no_row():
+    from daymark.llm.common import slices
+
+    texts = ["x" * n for n in (0, 5, 100, 3, 3, 3, 50, 0)] + [None, "yy"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10)), pa.array(texts)], names=["i", "t"])
+    parts = list(slices(batch, 1, 10))
+    assert [v for p in parts for v in p.column(1).to_pylist()] == texts and len(parts) > 3
+    assert all(sum(len(v or "") for v in p.column(1).to_pylist()[1:]) <= 10 for p in parts)
+    assert list(slices(batch.slice(0, 0), 1)) == []
