@@ -5,16 +5,18 @@ login, and an account's first metric day. Kept per user or account up to a day,
 they replace the scan of all older rows. A history knows the day it ends before
 (``until``), and is brought up to date from that very day, so it may be of any age:
 the result is exactly that of a scan of all rows. Rows that arrive later for days
-before ``until`` are seen only after the history is built again.
+before ``until`` are not seen by a history kept as a whole; ``plans/segments.py`` keeps one
+by month, which takes them in.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass, fields, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymark.config import Inputs, Vocabulary
@@ -24,13 +26,16 @@ from daymark.sources.tables import scan_product
 USER = ["account_id", "region", "user_id"]
 
 
-def user_facts(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
+def user_facts(
+    inputs: Inputs, vocabulary: Vocabulary, by: Sequence[Column] = ()
+) -> DataFrame:
     """First login day and last login of every user and region, from one pass over events.
 
-    Users without a login are there too: their accounts have been seen.
+    Users without a login are there too: their accounts have been seen. With ``by``, there
+    is one row for each value of these columns as well.
     """
     login = F.when(is_event(vocabulary.login), F.col("event_day"))
-    return inputs.raw_events.groupBy(*USER).agg(
+    return inputs.raw_events.groupBy(*by, *USER).agg(
         F.to_date(F.min(login)).alias("first_login_date"), F.max(login).alias("last_login_date")
     )
 
@@ -52,8 +57,13 @@ def seen_accounts(
     """
     if users is None:
         users = user_facts(inputs, vocabulary)
+    return seen_of(users, scan_product(inputs.business_metrics, vocabulary))
+
+
+def seen_of(users: DataFrame, billed: DataFrame) -> DataFrame:
+    """Accounts of ``users`` and of the ``billed`` rows, as in ``seen_accounts``."""
     events = users.select("account_id", "last_login_date", F.lit(False).alias("billed"))
-    revenue = scan_product(inputs.business_metrics, vocabulary).select(
+    revenue = billed.select(
         "account_id",
         F.lit(None).cast("timestamp_ntz").alias("last_login_date"),
         F.lit(True).alias("billed"),
@@ -65,11 +75,13 @@ def seen_accounts(
     )
 
 
-def join_dates(inputs: Inputs, vocabulary: Vocabulary) -> DataFrame:
-    """First metric day of every account, over all history."""
+def join_dates(
+    inputs: Inputs, vocabulary: Vocabulary, by: Sequence[Column] = ()
+) -> DataFrame:
+    """First metric day of every account, over all history (and for each value of ``by``)."""
     return (
         scan_product(inputs.daily_account_metrics, vocabulary)
-        .groupBy("account_id")
+        .groupBy(*by, "account_id")
         .agg(F.min("computation_date").alias("join_date"))
     )
 
@@ -97,14 +109,23 @@ def history_of(
     """The history of all rows given; ``users`` are their facts, where stored already."""
     if users is None:
         users = user_facts(inputs, vocabulary)
+    return history_from(
+        users, seen_accounts(inputs, vocabulary, users), join_dates(inputs, vocabulary), until
+    )
+
+
+def history_from(
+    users: DataFrame, seen: DataFrame, joined: DataFrame, until: dt.date | None
+) -> History:
+    """The history that these facts make up."""
     regional = users.filter(F.col("first_login_date").isNotNull()).drop("last_login_date")
     return History(
         first_logins=regional.groupBy("account_id", "user_id").agg(
             F.min("first_login_date").alias("first_login_date")
         ),
         first_regional_logins=regional,
-        seen_accounts=seen_accounts(inputs, vocabulary, users),
-        join_dates=join_dates(inputs, vocabulary),
+        seen_accounts=seen,
+        join_dates=joined,
         until=until,
     )
 
@@ -183,7 +204,7 @@ def history_with_facts(
     if kept is not None:
         facts = facts.filter(F.col("computation_date") >= F.lit(kept.until))
     rest = user_facts(replace(recent, raw_events=others), vocabulary)
-    users = _fold(rest, user_facts_of(facts))
+    users = fold_rows(rest, user_facts_of(facts))
     found = history_of(recent, vocabulary, users)
     return found if kept is None else fold(kept, found)
 
@@ -191,10 +212,10 @@ def history_with_facts(
 def fold(older: History, newer: History) -> History:
     """The history of both sets of rows."""
     return History(
-        first_logins=_fold(older.first_logins, newer.first_logins),
-        first_regional_logins=_fold(older.first_regional_logins, newer.first_regional_logins),
-        seen_accounts=_fold(older.seen_accounts, newer.seen_accounts),
-        join_dates=_fold(older.join_dates, newer.join_dates),
+        first_logins=fold_rows(older.first_logins, newer.first_logins),
+        first_regional_logins=fold_rows(older.first_regional_logins, newer.first_regional_logins),
+        seen_accounts=fold_rows(older.seen_accounts, newer.seen_accounts),
+        join_dates=fold_rows(older.join_dates, newer.join_dates),
     )
 
 
@@ -207,7 +228,8 @@ _KEPT = {
 }
 
 
-def _fold(*parts: DataFrame) -> DataFrame:
+def fold_rows(*parts: DataFrame) -> DataFrame:
+    """One row per key: of equal keys, the earliest first days and the latest last ones."""
     rows = reduce(DataFrame.unionByName, parts)
     keys = [c for c in rows.columns if c not in _KEPT]
     return rows.groupBy(*keys).agg(
