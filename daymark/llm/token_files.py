@@ -1,8 +1,8 @@
 """Token ids in files, packed by a static range asymmetric numeral system.
 
 1. Encode: documents are dealt by ranges of doc_id, every whole text is encoded, and the
-   plain ids are stored in blocks of whole documents.
-2. Pack: the counts of all ids of all documents become one shared frequency table (its size
+   plain ids are stored in blocks of whole documents, with the counts of ids of each file.
+2. Pack: the summed counts of all ids of all documents become one shared frequency table (its size
    is that of the vocabulary, whatever the corpus). Each block is then packed by itself,
    with 128 interleaved lanes, checkpoints to start inside it, and a checksum.
 3. Read: blocks are decoded in parallel; starts are sums over file totals.
@@ -30,13 +30,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from daymark.llm.common import shared_folder
+from daymark.llm.common import shared_folder, slices
 
 END_ID = 2
 #: Bits of the sum of all frequencies: room for a vocabulary of a quarter of a million ids.
@@ -50,13 +51,18 @@ CHECKPOINT_STEPS = 128
 BLOCKS_TOGETHER = 24
 #: Pieces that a worker remembers, twice over, before it forgets those not met again.
 REMEMBERED = 500_000
+#: Bytes of text whose pieces are numbered together; a longer text stands alone.
+ENCODED_BYTES = 8 << 20
 #: Marks that, after letters, form one token group of their own; fixed by the tokenizer.
 MARKS = ".,;:!?*$%&#|()[]+-_=/"
 
 LOWEST = np.uint64(1 << 31)
 WORD_BITS = np.uint64(32)
 LOW_WORD = np.uint64(0xFFFFFFFF)
-PLAIN_DDL = "file_no int, block_no int, ids binary, docs array<struct<doc_id: long, at: long, n_tokens: long>>"
+PLAIN_DDL = (
+    "file_no int, block_no int, ids binary, docs array<struct<doc_id: long, at: long, n_tokens: long>>, "
+    "counts binary"
+)
 BLOCK_DDL = (
     "file_no int, block_no int, n_tokens long, crc32 long, payload binary, "
     "docs array<struct<doc_id: long, at: long, n_tokens: long>>"
@@ -135,20 +141,46 @@ class Encoder(dict):
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, one after the other."""
-        if not text:
-            return b""
-        if any(name in text for name in self.added):
-            return self.whole(text)
-        pieces = ("\n" + text.replace("\n", " \n")).split(" ")
-        try:
-            ids = b"".join(map(self.__getitem__, pieces))[len(self.line_end) :]
-        except Irregular:
-            ids = self.whole(text)
+        return self.encode_all(pa.array([text]))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text. Distinct pieces are looked up once for all texts; the ids of
+        the texts are then gathered by the numbers of their pieces."""
+        lined = pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), "")
+        split = pc.split_pattern(lined, " ")
+        firsts = split.offsets.to_numpy()[:-1]
+        coded = split.flatten().dictionary_encode()
+        known, irregular = [], []
+        for i, piece in enumerate(coded.dictionary.to_pylist()):
+            try:
+                known.append(self[piece])
+            except Irregular:
+                known.append(b"")
+                irregular.append(i)
         if len(self) > REMEMBERED:  # what is not met again in the next round is forgotten
             self.older = dict(self)
             self.clear()
             self.marks.clear()
-        return ids
+        width = self.kind.itemsize
+        codes = coded.indices.to_numpy()
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // width
+        taken = sizes[codes]
+        ends = np.cumsum(taken)
+        shift = (np.cumsum(sizes) - sizes)[codes] - (ends - taken)
+        ids = np.frombuffer(b"".join(known), self.kind)[np.repeat(shift, taken) + np.arange(ends[-1] if len(ends) else 0)]
+        data = memoryview(ids).cast("B") if len(ids) else memoryview(b"")
+        # Each text was given a line end before it, whose id goes again.
+        begins = ((ends - taken)[firsts] * width + len(self.line_end)).tolist()
+        stops = [*((ends - taken)[firsts[1:]] * width).tolist(), len(data)]
+        odd = np.zeros(len(known), bool)
+        odd[irregular] = True
+        whole = np.logical_or.reduceat(odd[codes], firsts) if len(firsts) else np.zeros(0, bool)
+        for name in self.added:
+            whole |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        out = [bytes(data[a:b]) for a, b in zip(begins, stops, strict=True)] if len(firsts) else []
+        for i in np.flatnonzero(whole):
+            out[i] = self.whole(texts[int(i)].as_py())
+        return out
 
 
 def _byte_letters() -> dict[int, str]:
@@ -162,18 +194,22 @@ def _byte_letters() -> dict[int, str]:
 BYTE_LETTERS = _byte_letters()
 
 
-def count_ids(plain: DataFrame, kind: np.dtype) -> DataFrame:
-    """id and n of all stored documents, end ids included."""
+def count_ids(plain: DataFrame) -> DataFrame:
+    """id and n of all stored documents, end ids included; each task that encoded has left
+    one row with its counts of all ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << 16 if kind.itemsize == 2 else 1 << 20, np.int64)
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=len(total))
+            for counts in batch.column(0):
+                own = np.frombuffer(counts.as_buffer(), "<i8")
+                total = np.pad(total, (0, max(0, len(own) - len(total))))
+                total[: len(own)] += own
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
-    return plain.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = plain.where(F.col("block_no").isNull()).select("counts")
+    return counts.mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def frequencies(ids: np.ndarray, counts: np.ndarray, scale: int = SCALE) -> tuple[np.ndarray, np.ndarray]:
@@ -296,7 +332,8 @@ class Coder:
 
 
 def _plain_blocks(rows: DataFrame, path: str) -> DataFrame:
-    """Blocks of whole documents with their ids as they are, in ascending doc_id order."""
+    """Blocks of whole documents with their ids as they are, in ascending doc_id order, and
+    per file one more row, without a block number, that counts its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
@@ -305,14 +342,17 @@ def _plain_blocks(rows: DataFrame, path: str) -> DataFrame:
         parts: list[bytes] = []
         index: list[dict] = []
         size, at, block_no = 0, 0, 0
+        counts = np.zeros(max(encoder.vocabulary, END_ID + 1), "<i8")
 
         def block() -> pa.RecordBatch:
-            row = {"file_no": file_no, "block_no": block_no, "ids": b"".join(parts), "docs": index}
+            ids = b"".join(parts)
+            counts[:] += np.bincount(np.frombuffer(ids, encoder.kind), minlength=len(counts))
+            row = {"file_no": file_no, "block_no": block_no, "ids": ids, "docs": index}
             return pa.RecordBatch.from_pylist([row], schema=PLAIN_SCHEMA)
 
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encoder.encode(text.as_py())
+        parts_of_texts = (part for batch in batches for part in slices(batch, 1, ENCODED_BYTES))
+        for part in parts_of_texts:
+            for key, ids in zip(part.column(0).to_pylist(), encoder.encode_all(part.column(1)), strict=True):
                 n = len(ids) // encoder.kind.itemsize + 1
                 parts += [ids, end]
                 index.append({"doc_id": key, "at": at, "n_tokens": n})
@@ -322,6 +362,8 @@ def _plain_blocks(rows: DataFrame, path: str) -> DataFrame:
                     parts, index, size, block_no = [], [], 0, block_no + 1
         if index:
             yield block()
+        if at:
+            yield pa.RecordBatch.from_pylist([{"file_no": file_no, "counts": counts.tobytes()}], schema=PLAIN_SCHEMA)
 
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
     return ordered.mapInArrow(run, PLAIN_DDL)
@@ -335,7 +377,7 @@ def write_token_files(docs: DataFrame, folder: str, *, path: str | None = None)
     _plain_blocks(rows, path).write.option("compression", "zstd").parquet(f"{folder}/plain")
     plain = spark.read.schema(PLAIN_DDL).parquet(f"{folder}/plain")
     kind = Encoder.of(path).kind
-    table = count_ids(plain, kind).toPandas()
+    table = count_ids(plain).toPandas()
     ids, freq = (
         frequencies(table["id"].to_numpy(np.int64), table["n"].to_numpy(np.int64))
         if len(table)
@@ -355,7 +397,8 @@ def write_token_files(docs: DataFrame, folder: str, *, path: str | None = None)
             ]
             yield pa.RecordBatch.from_pylist(rows, schema=BLOCK_SCHEMA)
 
-    plain.mapInArrow(run, BLOCK_DDL).write.parquet(f"{folder}/blocks")
+    packed = plain.where(F.col("block_no").isNotNull()).drop("counts").mapInArrow(run, BLOCK_DDL)
+    packed.write.parquet(f"{folder}/blocks")
 
 
 def _together(batches: Iterator[pa.RecordBatch], size_of: Callable[[dict], int]) -> Iterator[list[dict]]:
@@ -376,7 +419,15 @@ def _together(batches: Iterator[pa.RecordBatch], size_of: Callable[[dict], int])
 
 
 DOCS_TYPE = pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64())]))
-PLAIN_SCHEMA = pa.schema([("file_no", pa.int32()), ("block_no", pa.int32()), ("ids", pa.binary()), ("docs", DOCS_TYPE)])
+PLAIN_SCHEMA = pa.schema(
+    [
+        ("file_no", pa.int32()),
+        ("block_no", pa.int32()),
+        ("ids", pa.binary()),
+        ("docs", DOCS_TYPE),
+        ("counts", pa.binary()),
+    ]
+)
 BLOCK_SCHEMA = pa.schema(
     [
         ("file_no", pa.int32()),
