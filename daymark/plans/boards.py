@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,11 +67,7 @@ def rolling_activity_series(
         days = external_activity(inputs, vocabulary)
     end = reporting_day(inputs.reporting_dates)
     logins = days.filter(F.col("is_login") & F.col(_DAY).between(F.date_sub(end, 45), end))
-    axis = (
-        inputs.calendar.filter(F.col("date").between(as_date(first), as_date(as_of)))
-        .select(F.col("date").alias("calendar_date"))
-        .distinct()
-    )
+    axis = series_axis(inputs.calendar, first, as_of)
     start = F.date_sub(end, 13)
     accounts = window_and_day_members(
         logins, "account_id", start, end, ("active accounts (30 days)", "daily active accounts")
@@ -92,6 +89,17 @@ def rolling_activity_series(
         as_date(as_of),
         ("active readers (30 days)", "daily active readers"),
     )
+    return series_rows(axis, readers, stats)
+
+
+def series_axis(calendar: DataFrame, first: dt.date, as_of: dt.date) -> DataFrame:
+    """The days of the calendar in ``[first, as_of]``."""
+    days = calendar.filter(F.col("date").between(as_date(first), as_date(as_of)))
+    return days.select(F.col("date").alias("calendar_date")).distinct()
+
+
+def series_rows(axis: DataFrame, readers: DataFrame, stats: DataFrame) -> DataFrame:
+    """The series, from its figures per ``calendar_date``."""
     return (
         axis.join(readers, "calendar_date", "left")
         .join(stats, "calendar_date", "left")
@@ -186,15 +194,18 @@ def regional_board(
     )
     accounts = members_by_region(logins, "account_id", end, ("day_accounts", "accounts"))
     authors = members_by_region(logins, "user_id", end, ("day_authors", "authors"))
+    new = [new_regional_accounts(inputs, vocabulary, end), new_regional_authors(days, inputs, end)]
+    return board_rows(inputs, vocabulary, [*new, accounts, authors, readers])
+
+
+def board_rows(inputs: Inputs, vocabulary: Vocabulary, parts: Sequence[DataFrame]) -> DataFrame:
+    """The board, from its figures per region."""
     board = (
         inputs.regions.filter(F.col("region_code").isin(*vocabulary.board_regions))
         .select(F.col("region_code").alias("region"))
-        .join(new_regional_accounts(inputs, vocabulary, end), "region", "left")
-        .join(new_regional_authors(days, inputs, end), "region", "left")
-        .join(accounts, "region", "left")
-        .join(authors, "region", "left")
-        .join(readers, "region", "left")
     )
+    for part in parts:
+        board = board.join(part, "region", "left")
     # Titles of the board.
     titles = {
         "New Accounts": "new_accounts",

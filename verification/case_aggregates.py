@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from daymark.functions.dates import as_date, day_of, months_before
@@ -19,9 +22,10 @@ from daymark.plans.events import (
     run_activity,
     run_rolling_activity,
 )
-from daymark.plans.history import join_dates, seen_accounts
+from daymark.plans.history import History, join_dates, seen_accounts
 from daymark.plans.revenue import revenue_sums
 from daymark.plans.rolling import run_rolling_readers
+from daymark.plans.segments import SegmentedHistory
 from daymark.sources.tables import scan_external_events, scan_metering, scan_product
 from verification.inputs import ETL_DATE, VOCABULARY, business_metrics
 from verification.oracle import (
@@ -111,6 +115,54 @@ def _(c: Context):
     return join_dates(c.inputs, V).join(seen.drop("billed"), "account_id", "full")
 
 
+# A history that ends before UNTIL, first built without the rows of one of the days and with
+# rows of another that were withdrawn later; then made up for.
+UNTIL = dt.date(2024, 1, 1)
+LATE_DAY, WITHDRAWN_DAY = dt.date(2023, 12, 7), dt.date(2023, 11, 21)
+
+
+def _restated(c: Context) -> History:
+    rows, day = c.inputs, F.to_date("event_day")
+    withdrawn = F.concat("user_id", F.lit("-withdrawn"))
+    wrong = rows.raw_events.filter(day != F.lit(LATE_DAY)).union(
+        rows.raw_events.filter(day == F.lit(WITHDRAWN_DAY)).withColumn("user_id", withdrawn)
+    )
+    kept = SegmentedHistory(c.spark, c.new_path(), V)
+    kept.build(replace(rows, raw_events=wrong), UNTIL)
+    kept.restate(rows, [LATE_DAY, WITHDRAWN_DAY])
+    return kept.history()
+
+
+@case(
+    "two_level_agg_restated",
+    f"""SELECT day AS first_login_date, account_id, count(*) AS count_new_authors
+    FROM (SELECT account_id, user_id, min(CAST(event_day AS DATE)) AS day FROM raw_events
+          WHERE event_name = 'UserLogin' AND event_day < DATE '{UNTIL}'
+          GROUP BY account_id, user_id) GROUP BY day, account_id""",
+)
+def _(c: Context):
+    firsts = _restated(c).first_logins
+    return firsts.groupBy("first_login_date", "account_id").agg(
+        F.count("user_id").alias("count_new_authors")
+    )
+
+
+@case(
+    "min_max_agg_restated",
+    f"""SELECT account_id, join_date, last_login_date FROM
+    (SELECT account_id, min(computation_date) AS join_date FROM daily_account_metrics
+     WHERE product_code = 'P' AND computation_date < DATE '{UNTIL}' GROUP BY account_id)
+    FULL JOIN
+    (SELECT account_id, max(event_day) AS last_login_date FROM raw_events
+     WHERE event_name = 'UserLogin' AND event_day < DATE '{UNTIL}' GROUP BY account_id)
+    USING (account_id)""",
+)
+def _(c: Context):
+    history = _restated(c)
+    seen = history.seen_accounts.filter(F.col("last_login_date").isNotNull())
+    return history.join_dates.join(seen.drop("billed"), "account_id", "full")
+
+
 @case("metric_presence_counts", "SELECT * FROM plans")
 def _(c: Context):
     return plan_days(c.inputs, V)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions.predicates import etl_window, is_event, is_reader_view
 from daymark.operators.quality import check_unique_key, reconcile_reports
-from daymark.plans import boards, reports
+from daymark.plans import boards, presence_boards, reports
 from daymark.plans.account_dimension import account_type_edition_daily
 from daymark.plans.events import (
     events_daily,
@@ -33,6 +33,8 @@ from daymark.plans.rolling_state import (
     keep_state,
     state_of,
 )
+from daymark.schemas import KEYS, TABLES
+from daymark.sources.digests import DigestedTable, reconcile_tables
 from daymark.sources.tables import scan_external_events
 from verification.inputs import (
     ETL_DATE,
@@ -495,6 +497,60 @@ def _(c: Context):
     return boards.regional_board(c.inputs, V, ETL_DATE, _stored_days(c))
 
 
+BOARD_DATES = presence_boards.BoardDates(SERIES_FIRST, ETL_DATE, REPORTING_DATE)
+
+
+def _stored_presence(c: Context):
+    """Bits of presence, from one pass over events, written once for a board."""
+    path = c.new_path()
+    presence_boards.board_presence(c.inputs, V, BOARD_DATES).write.parquet(path)
+    return c.spark.read.parquet(path)
+
+
+@case("rpt_rolling_activity_series_presence", _SERIES_SQL)
+def _(c: Context):
+    return presence_boards.rolling_activity_series(c.inputs, V, BOARD_DATES, _stored_presence(c))
+
+
+@case("rpt_regional_board_presence", _BOARD_SQL)
+def _(c: Context):
+    return presence_boards.regional_board(c.inputs, V, BOARD_DATES, _stored_presence(c))
+
+
+# Between the two versions: a count has changed, rows have gone, rows have come twice.
+_CHANGED, _GONE, _TWICE = dt.date(2023, 12, 20), dt.date(2024, 1, 3), dt.date(2024, 1, 17)
+
+
+@case(
+    "reconcile_tables",
+    f"""SELECT * EXCLUDE (sign), CAST(sum(sign) AS BIGINT) AS surplus FROM (
+        SELECT *, 1 AS sign FROM regional_table
+        UNION ALL
+        SELECT * REPLACE (count_analysis_created
+                   + CASE WHEN computation_date = DATE '{_CHANGED}' AND account_id LIKE '%3'
+                     THEN 1 ELSE 0 END AS count_analysis_created), -1 FROM regional_table
+        WHERE computation_date <> DATE '{_GONE}' OR region IS DISTINCT FROM 'ASIA'
+        UNION ALL
+        SELECT *, -1 FROM regional_table
+        WHERE computation_date = DATE '{_TWICE}' AND region = 'AFRICA')
+    GROUP BY ALL HAVING sum(sign) <> 0""",
+)
+def _(c: Context):
+    day, region, count = F.col("computation_date"), F.col("region"), F.col("count_analysis_created")
+    more = ((day == F.lit(_CHANGED)) & F.col("account_id").like("%3")).cast("bigint")
+    kept = (day != F.lit(_GONE)) | ~region.eqNullSafe(F.lit("ASIA"))
+    name = "events_regional_daily"
+
+    def version(rows):
+        return DigestedTable(c.spark, c.new_path(), TABLES[name], KEYS[name]).write(rows)
+
+    before = version(c.regional)
+    rows = before.rows()
+    changed = rows.filter(kept).withColumn("count_analysis_created", (count + more).cast("bigint"))
+    twice = rows.filter((day == F.lit(_TWICE)) & (region == "AFRICA"))
+    return reconcile_tables(before, version(changed.unionByName(twice)))
+
+
 @case(
     "check_unique_key",
     """SELECT computation_date, account_id, region, count(*) AS row_count FROM regional_table
