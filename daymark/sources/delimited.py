@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,15 +35,23 @@ def export_delimited(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -
 
 
 def import_delimited(
-    spark: SparkSession, path: str, schema: T.StructType, max_bad_rows: int = 0
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    max_bad_rows: int = 0,
+    staging: str | None = None,
 ) -> DataFrame:
     """Read files into the declared table; more than ``max_bad_rows`` bad rows fail it.
 
     Empty or blank text becomes NULL and an invalid character a space. A row is bad
     if it has the wrong number of fields, a value that is not of its type, or a text
-    that is too long. ``import_with_rejects`` also keeps the rows that are skipped.
+    that is too long. With ``staging`` (a new folder of Parquet files) the files are parsed
+    once, now; without it once to count the bad rows and once to read.
+    ``import_with_rejects`` also keeps the rows that are skipped.
     """
     typed = _typed(_raw(spark, path, schema), schema)
+    if staging is not None:
+        typed = _staged(typed, staging)
     bad_rows = typed.agg(F.count_if(F.col(_BAD)).alias("n")).scalar()
     message = F.concat(bad_rows.cast("string"), F.lit(f" bad rows in {path}"))
     allowed = F.when(
@@ -63,8 +68,7 @@ def import_with_rejects(
     Files are parsed once, into ``staging`` (a new folder of Parquet files).
     """
     raw = _raw(spark, path, schema).withColumn(_FILE, F.col("_metadata.file_path"))
-    _typed(raw, schema).write.mode("errorifexists").parquet(staging)
-    rows = spark.read.parquet(staging)
+    rows = _staged(_typed(raw, schema), staging)
     rejected = rows.filter(_BAD).select(
         F.col(_FILE).alias("file"), F.col(_REASON).alias("reason"), F.col(_RAW).alias("raw")
     )
@@ -74,6 +78,11 @@ def import_with_rejects(
     return rows.filter(~F.col(_BAD)).select(*schema.fieldNames()), rejected
 
 
+def _staged(typed: DataFrame, staging: str) -> DataFrame:
+    typed.write.mode("errorifexists").parquet(staging)
+    return typed.sparkSession.read.schema(typed.schema).parquet(staging)
+
+
 def _raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     raw_schema = T.StructType(
         [T.StructField(name, T.StringType()) for name in [*schema.fieldNames(), _BAD]]
@@ -88,30 +97,35 @@ def _raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Typed columns with a flag for bad rows, why they are bad, and their text."""
-    cleaned = raw.withColumns({f.name: _clean(F.col(f.name)) for f in schema})
-    unfit = F.array(*[F.when(_unfit(f), F.lit(f.name)) for f in schema])
+    """Typed columns with a flag for bad rows, why they are bad, and their text.
+
+    A row is tested as one array of its columns: as a chain of conditions, the code of a
+    wide table grows too long for the JVM to compile.
+    """
+    cleaned = {f.name: _clean(F.col(f.name)) for f in schema}
+    unfit = F.array(*[_unfit(f, cleaned[f.name]) for f in schema])
+    names = F.array(*[F.when(_unfit(f, cleaned[f.name]), F.lit(f.name)) for f in schema])
     reason = F.when(F.col(_BAD).isNotNull(), F.lit("number of fields")).otherwise(
-        F.concat_ws(", ", F.array_compact(unfit))
+        F.concat_ws(", ", F.array_compact(names))
     )
-    text = F.coalesce(F.col(_BAD), F.concat_ws("|", *[F.coalesce(f.name, F.lit("")) for f in schema]))
-    bad = reduce(or_, [_unfit(f) for f in schema], F.col(_BAD).isNotNull())
-    return cleaned.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema],
+    fields = [F.coalesce(cleaned[f.name], F.lit("")) for f in schema]
+    text = F.coalesce(F.col(_BAD), F.concat_ws("|", *fields))
+    bad = F.col(_BAD).isNotNull() | F.exists(unfit, lambda x: x)
+    return raw.select(
+        *[cleaned[f.name].try_cast(f.dataType).alias(f.name) for f in schema],
         bad.alias(_BAD),
         F.when(bad, reason).alias(_REASON),
         F.when(bad, text).alias(_RAW),
-        *[c for c in cleaned.columns if c == _FILE],
+        *[c for c in raw.columns if c == _FILE],
     )
 
 
 def _clean(text: Column) -> Column:
-    valid = F.translate(text, _INVALID, " ")
+    valid = F.replace(text, F.lit(_INVALID), F.lit(" "))
     return F.when(F.trim(valid) != "", valid)
 
 
-def _unfit(field: T.StructField) -> Column:
-    text = F.col(field.name)
+def _unfit(field: T.StructField, text: Column) -> Column:
     size = field.metadata.get(MAX_BYTES)
     if size is not None:
         return F.coalesce(F.octet_length(text) > size, F.lit(False))

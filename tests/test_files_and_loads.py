@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import os
+import re
 from decimal import Decimal
 
 import pytest
@@ -17,6 +18,8 @@ from daymark.schemas import KEYS, TABLES, _text, enforce_schema
 from daymark.sources import loads
 from daymark.sources.delimited import (
     MAX_BAD_ROWS,
+    _raw,
+    _typed,
     export_delimited,
     import_delimited,
     import_with_rejects,
@@ -178,3 +181,26 @@ def test_clone_has_the_columns_and_no_rows(events):
     assert loads.clone_staging(events).schema == events.schema
     assert loads.clone_staging(events).count() == 0
     assert loads.clone_staging(events, rows=1).count() == 1
+
+
+def test_rows_of_the_widest_table_are_parsed_by_compiled_code(spark, tmp_path):
+    path, schema = write(tmp_path, b""), TABLES["events_regional_daily"]
+    typed = _typed(_raw(spark, path, schema), schema)
+    query = typed.drop("_bad_reason", "_bad_text")._jdf.queryExecution()
+    text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(query, "codegen")
+    # The JVM compiles no method above this size.
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text)), default=0) <= 8000
+
+
+@pytest.mark.parametrize("bad, fails", [(0, False), (10, False), (11, True)])
+def test_a_staged_import_parses_its_files_once(spark, tmp_path, bad, fails):
+    path = write(tmp_path, b'"7"|"good"\n' + b'"x"|"text"\n' * bad)
+    schema, staging = StructType.fromDDL("id int, text string"), str(tmp_path / "staging")
+    df = import_delimited(spark, path, schema, MAX_BAD_ROWS, staging)
+    with gzip.open(f"{path}/part.csv.gz", "wb") as file:
+        file.write(b'"8"|"not read any more"\n')
+    if fails:
+        with pytest.raises(Exception, match="11 bad rows"):
+            df.collect()
+    else:
+        assert [tuple(r) for r in df.collect()] == [(7, "good")]

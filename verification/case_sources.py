@@ -96,7 +96,7 @@ def _round_trip(name: str, job):
     def build(c: Context):
         path = c.new_path()
         export_delimited(job(c), path)
-        return import_delimited(c.spark, path, TABLES[name])
+        return import_delimited(c.spark, path, TABLES[name], staging=c.new_path())
 
     return build
 
