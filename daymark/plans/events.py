@@ -32,7 +32,12 @@ from daymark.operators.rolling import (
     rolling_of_member_days,
 )
 from daymark.plans.history import History
-from daymark.schemas import EVENTS_DAILY, EVENTS_REGIONAL_DAILY, enforce_schema
+from daymark.schemas import (
+    ACTIVITY_COLUMNS,
+    EVENTS_DAILY,
+    EVENTS_REGIONAL_DAILY,
+    enforce_schema,
+)
 from daymark.sources.tables import scan_raw_events
 
 KEYS = ["computation_date", "account_id"]
@@ -223,35 +228,69 @@ def events_regional_daily(
     Activity in another region, and new authors without a matching activity row,
     stay as rows of their own without account attributes. ``rolling`` are the rolling
     figures where they have been carried forward from day to day.
+
+    The figures of a day, account and region are brought together first, so the wide
+    dimension rows meet them in one join.
     """
     accounts = run_dimension(dimension, etl_date).withColumn("in_dimension", F.lit(True))
     places = ["account_id", "region"]
     if rolling is None:
         rolling = run_rolling_activity(inputs, places, etl_date, vocabulary, user_days)
+    rolling = _without_unplaced_week(rolling).withColumn("in_rolling", F.lit(True))
     activity = run_activity(inputs, REGION_KEYS, etl_date, vocabulary, user_days).withColumn(
         "in_activity", F.lit(True)
     )
     firsts = history.first_regional_logins if history else None
-    authors = run_new_authors(inputs, places, etl_date, vocabulary, firsts, user_days)
+    authors = run_new_authors(inputs, places, etl_date, vocabulary, firsts, user_days).withColumn(
+        "in_authors", F.lit(True)
+    )
 
-    fanned = accounts.join(_without_unplaced_week(rolling), KEYS, "left")
-    active = _merge_keys(
-        full_join_tested(fanned, activity, REGION_KEYS, F.lit(True), "activity"), "activity"
-    ).withColumn("takes_authors", F.col("in_dimension") & F.col("in_activity"))
-    rows = _merge_keys(
-        full_join_tested(active, authors, REGION_KEYS, F.col("takes_authors"), "authors"),
+    facts = _merge_keys(
+        full_join_tested(activity, authors, REGION_KEYS, F.lit(True), "authors"),
+        REGION_KEYS,
         "authors",
     )
+    # Authors without activity match nothing.
+    figures = _merge_keys(
+        full_join_tested(facts, rolling, REGION_KEYS, F.col("in_activity"), "rolling"),
+        REGION_KEYS,
+        "rolling",
+    )
+    rows = _merge_keys(
+        full_join_tested(figures, accounts, KEYS, F.col("in_rolling"), "dimension"),
+        KEYS,
+        "dimension",
+    )
     rows = (
-        rows.filter(
-            F.col("account_id").isNotNull() & etl_window("computation_date", etl_date)
-        )
+        _unplaced_apart(rows)
+        .filter(F.col("account_id").isNotNull() & etl_window("computation_date", etl_date))
         .withColumn("region", F.coalesce("region", F.lit(vocabulary.unknown_region)))
         .withColumn("active_account", active_flag("count_login_event"))
     )
     return enforce_schema(stamped(rows, etl_date), EVENTS_REGIONAL_DAILY)
 
 
+def _unplaced_apart(rows: DataFrame) -> DataFrame:
+    """Without a dimension row, activity and its new authors are rows of their own, and
+    rolling figures are dropped."""
+    placed, active = F.col("in_dimension").isNotNull(), F.col("in_activity").isNotNull()
+    counted = F.col("in_authors").isNotNull()
+    parts = (
+        F.when(placed, F.array(F.lit("all")))
+        .when(active & counted, F.array(F.lit("activity"), F.lit("authors")))
+        .when(active, F.array(F.lit("activity")))
+        .when(counted, F.array(F.lit("authors")))
+    )
+    part = F.col("_part")
+    kept = {"count_new_authors": F.when(part != "activity", F.col("count_new_authors"))}
+    for name in rows.columns:
+        if name in ACTIVITY_COLUMNS:
+            kept[name] = F.when(part != "authors", F.col(name))
+        elif name.startswith(("l30_", "l7_")):
+            kept[name] = F.when(part == "all", F.col(name))
+    return rows.withColumn("_part", F.explode(parts)).withColumns(kept)
+
+
 def _without_unplaced_week(rolling: DataFrame) -> DataFrame:
     """Rows without a region have no 7-day figures: those are matched by region."""
     week = [c for c in rolling.columns if c.startswith("l7_")]
@@ -260,7 +299,7 @@ def _without_unplaced_week(rolling: DataFrame) -> DataFrame:
     )
 
 
-def _merge_keys(df: DataFrame, side: str) -> DataFrame:
-    return df.withColumns(
-        {k: F.coalesce(k, f"{side}_{k}") for k in REGION_KEYS}
-    ).drop(*[f"{side}_{k}" for k in REGION_KEYS])
+def _merge_keys(df: DataFrame, keys: list[str], side: str) -> DataFrame:
+    return df.withColumns({k: F.coalesce(k, f"{side}_{k}") for k in keys}).drop(
+        *[f"{side}_{k}" for k in keys]
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -225,6 +226,38 @@ def test_usage_rule_changes_in_february_2017(make, words):
         assert rows_on(df, on, "count_provisioned_free_users") == [(Decimal(count),)]
 
 
+def test_figures_meet_before_the_dimension_so_its_rows_are_dealt_once(make, words):
+    df = jobs(make(), words, events_regional_daily)
+    text = df._sc._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
+        df._jdf.queryExecution(), "formatted"
+    )
+    exchanges = [x for x in text.split("\n\n") if re.match(r"\(\d+\) Exchange\n", x)]
+    assert exchanges
+    # Only the dimension itself is dealt, not what has been joined to it.
+    assert not [x for x in exchanges if "company_name" in x and "l30_count_active_reader" in x]
+
+
+def test_repeated_dimension_rows_take_authors_and_leave_unplaced_rows_single(make, words):
+    inputs = make(
+        raw_events=[
+            login("2024-01-10", "a", "u"),
+            event("2024-01-10", "a", "u", "UserInvite", region="r2"),
+            login("2024-01-10", "a", "v", region=None),
+            login("2024-01-10", "ghost", "w"),
+        ],
+        account_details=[account("a"), account("a")],
+    )
+    regional = jobs(inputs, words, events_regional_daily)
+    columns = "company_name", "count_login_event", "count_new_authors"
+    placed = rows_on(regional, "2024-01-10", *columns, account_id="a", region="r1")
+    assert placed == [("company a", 1, 1)] * 2
+    assert rows_on(regional, "2024-01-10", *columns, account_id="a", region="r2") == [(None, 0, None)]
+    unknown = rows_on(regional, "2024-01-10", *columns, account_id="a", region="Unknown")
+    assert unknown == [("company a", None, None)] * 2 + [(None, 1, None), (None, None, 1)]
+    ghost = rows_on(regional, "2024-01-10", *columns, account_id="ghost")
+    assert ghost == [(None, 1, None), (None, None, 1)]
+
+
 def test_first_login_by_region_and_overall(make, words):
     inputs = make(
         raw_events=[login("2024-01-10", "a", "u", "r1"), login("2024-01-12", "a", "u", "r2")],
