@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import os
 import re
+import uuid
 from decimal import Decimal
 
 import pytest
@@ -24,6 +25,8 @@ from daymark.sources.delimited import (
     import_delimited,
     import_with_rejects,
 )
+from verification.case_sources import _loaded
+from verification.registry import Context
 
 SCHEMA = (
     StructType()
@@ -204,3 +207,25 @@ def test_a_staged_import_parses_its_files_once(spark, tmp_path, bad, fails):
             df.collect()
     else:
         assert [tuple(r) for r in df.collect()] == [(7, "good")]
+
+
+def test_a_job_is_run_once_for_all_its_loads(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def job(c):
+        schema = TABLES["events_daily"]
+        rows = [{"computation_date": ETL, "account_id": "a"}, {"computation_date": ETL.replace(year=2023), "account_id": "b"}]
+        return enforce_schema(spark.createDataFrame(rows, schema).mapInArrow(counted, schema), schema)
+
+    class Here(Context):
+        def new_path(self):
+            return f"{tmp_path}/{uuid.uuid4().hex}"
+
+    table = _loaded("events_daily", job, loads.append_load, times=2)(Here(spark, ""))
+    assert sorted(r.account_id for r in table.collect()) == ["a", "a", "b"]
+    assert seen.value == 2

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymark.functions.predicates import etl_window
@@ -101,12 +102,21 @@ def _round_trip(name: str, job):
     return build
 
 
+def _written(c: Context, rows: DataFrame) -> DataFrame:
+    path = c.new_path()
+    rows.write.parquet(path)
+    return c.spark.read.schema(rows.schema).parquet(path)
+
+
 def _loaded(name: str, job, load, times: int = 1):
-    """The month before into a new table, then the run month, ``times`` times."""
+    """The month before into a new table, then the run month, ``times`` times.
+
+    The job runs once: its rows are written down, and every load reads them there.
+    """
 
     def build(c: Context):
         path, schema, keys = c.new_path(), TABLES[name], KEYS[name]
-        table = job(c)
+        table = _written(c, job(c))
         this_month = F.trunc(F.lit(ETL_DATE), "month")
         loads.append_load(table.filter(F.col(loads.DAY) < this_month), path, schema, keys)
         for _ in range(times):
