@@ -34,6 +34,7 @@ from daymark.plans.rolling_state import (
     state_of,
 )
 from daymark.schemas import KEYS, TABLES
+from daymark.sources import loads
 from daymark.sources.digests import DigestedTable, reconcile_tables
 from daymark.sources.tables import scan_external_events
 from verification.inputs import (
@@ -148,8 +149,9 @@ RECENT = f"computation_date > DATE '{ETL_DATE}' - 30"
 def _carried(c: Context, rows, carried):
     """Figures of the last 30 days, from a state of the day before and 30 daily steps."""
     path, before = c.new_path(), ETL_DATE - dt.timedelta(days=30)
-    rows.write.parquet(f"{path}/rows")
-    rows = c.spark.read.parquet(f"{path}/rows")
+    # By day, so that a step reads its own.
+    loads.clustered_write(rows, f"{path}/rows", [loads.DAY, *carried.keys])
+    rows = loads.read_table(c.spark, f"{path}/rows", rows.schema)
     keep_state(state_of(rows, carried, before), f"{path}/states")
     first = before + dt.timedelta(days=1)
     return carry_forward(c.spark, f"{path}/states", rows, carried, first, ETL_DATE)
