@@ -397,6 +397,42 @@ def test_top_k_of_awkward_vectors(spark):
     assert topk_search.top_k(df.where("vec_id < 5")).count() == 4
 
 
+def test_top_k_gathers_no_copies_of_queries_on_the_driver(spark, monkeypatch):
+    plans = []
+
+    def noted(df, label, keep=topk_search.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    monkeypatch.setattr(topk_search, "stored", noted)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(v) for v in rng.integers(-9, 10, 4) / 16]) for i in range(400)]
+    df = frame(spark, rows, pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32()))]))
+    found = topk_search.top_k(df)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 3 and not [p for p in plans if "Broadcast" in p or "CartesianProduct" in p]
+    assert found.count() == 400
+
+
+@pytest.mark.parametrize("size", [1, 4000])
+def test_top_k_of_many_blocks_and_groups(spark, monkeypatch, size):
+    for name, value in {"CANDIDATES": 300, "QUERIES": 24, "BLOCKS": 3, "GROUP": 60}.items():
+        monkeypatch.setattr(topk_search, name, value)
+    rng = np.random.default_rng(9)
+    x = rng.integers(-60, 61, (3000, 7)) / 64 * size
+    x[rng.random(3000) < 0.3] = x[20]  # equal scores, at the bound and above it
+    x[:40] = -np.abs(x[:40])
+    ids = rng.permutation(9000)[:3000] - 2000
+    df = frame(spark, list(zip(ids.tolist(), x.tolist())), pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float64()))]))
+    whole = np.floor(64 * x).astype(np.int64)
+    expected = []
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = whole @ whole[q]
+        order = [i for i in np.lexsort((ids, -score)) if i != q][:20]
+        expected += [(ids[q], k + 1, ids[i], score[i]) for k, i in enumerate(order)]
+    assert sorted(tuple(r) for r in topk_search.top_k(df).collect()) == sorted(expected)
+
+
 # 8
 
 
