@@ -48,9 +48,9 @@ PACKET_VALUES = 1 << 20
 #: Most bytes of components in a block; smaller tables have up to so many blocks of whole packets.
 BLOCK_BYTES = 32 << 20
 BLOCKS = 32
-#: Most queries that meet a block in one task; a table with fewer has up to so many tasks as
-#: long as each compares so many pairs.
-GROUP = 1 << 17
+#: Most bytes of queries that meet a block in one task; a table with fewer has up to so many
+#: tasks as long as each compares so many pairs.
+GROUP_BYTES = 16 << 20
 TASKS = 64
 PAIRS = 1 << 27
 PACKET_DDL = "packet long, ids binary, rows binary, low binary"
@@ -315,7 +315,7 @@ def top_k(rows: DataFrame, *, k: int = K, query_step: int = 20) -> DataFrame:
     is_query = F.pmod("vec_id", F.lit(query_step)) == 0
     facts = vectors.agg(
         F.mode(F.size("v")).alias("dimension"),
-        F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: F.greatest(a, F.abs(x)))).alias("largest"),
+        F.max(F.greatest(F.array_max("v"), -F.array_min("v"))).alias("largest"),
         F.count("*").alias("rows"),
         F.count_if(is_query).alias("queries"),
     ).first()
@@ -329,9 +329,10 @@ def top_k(rows: DataFrame, *, k: int = K, query_step: int = 20) -> DataFrame:
     kind = next(np.dtype(t) for t in (np.int8, np.int16, np.int32, np.int64) if largest <= np.iinfo(t).max)
     n_packets = max(1, -(-facts["rows"] // max(1, min(CANDIDATES, PACKET_VALUES // dimension))))
     n_query_packets = max(1, -(-facts["queries"] // max(1, min(QUERIES, PACKET_VALUES // dimension))))
-    n_blocks = min(n_packets, max(BLOCKS, -(-facts["rows"] * dimension * kind.itemsize // BLOCK_BYTES)))
+    width = dimension * kind.itemsize
+    n_blocks = min(n_packets, max(BLOCKS, -(-facts["rows"] * width // BLOCK_BYTES)))
     pairs = facts["rows"] * facts["queries"] // n_blocks
-    n_groups = min(n_query_packets, max(1, -(-facts["queries"] // GROUP), min(TASKS // n_blocks, pairs // PAIRS)))
+    n_groups = min(n_query_packets, max(1, -(-facts["queries"] * width // GROUP_BYTES), min(TASKS // n_blocks, pairs // PAIRS)))
     candidates = _packets(vectors, n_packets, dimension, kind)
     queries = _packets(vectors.where(is_query), n_query_packets, dimension, kind)
 

@@ -416,7 +416,7 @@ def test_top_k_gathers_no_copies_of_queries_on_the_driver(spark, monkeypatch):
 
 @pytest.mark.parametrize("size", [1, 4000])
 def test_top_k_of_many_blocks_and_groups(spark, monkeypatch, size):
-    for name, value in {"CANDIDATES": 300, "QUERIES": 24, "BLOCKS": 3, "GROUP": 60}.items():
+    for name, value in {"CANDIDATES": 300, "QUERIES": 24, "BLOCKS": 3, "GROUP_BYTES": 420}.items():
         monkeypatch.setattr(topk_search, name, value)
     rng = np.random.default_rng(9)
     x = rng.integers(-60, 61, (3000, 7)) / 64 * size
